@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
+from sieveline.llm.packing import op8_packing
 from sieveline.llm.simhash import op1_simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash_dedup": op1_simhash_dedup, "op9_line_dedup": op9_line_dedup}
+    return {
+        "op1_simhash_dedup": op1_simhash_dedup,
+        "op8_packing": op8_packing,
+        "op9_line_dedup": op9_line_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
