@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
 from sieveline.llm.packing import op8_packing
 from sieveline.llm.simhash import op1_simhash_dedup
+from sieveline.llm.toxicity import op10_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op1_simhash_dedup": op1_simhash_dedup,
         "op8_packing": op8_packing,
         "op9_line_dedup": op9_line_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 
