@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sieveline.llm.decontamination import op5_decontamination
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
 from sieveline.llm.packing import op8_packing
 from sieveline.llm.simhash import op1_simhash_dedup
@@ -17,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
+        "op5_decontamination": op5_decontamination,
         "op8_packing": op8_packing,
         "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,

@@ -264,6 +264,20 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFram
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one document, that of the smallest doc_id, of each class of near duplicates; columns as they were.
+
+    Of rows that repeat a doc_id one stays.  Rows with a null doc_id stay: nothing tells them apart.
+    """
+    classes = written(near_duplicates(docs, size, radius).select("doc_id", "component_id"), "near")
+    first = classes.filter("doc_id = component_id").groupBy("doc_id").count()
+    keep = first.select(F.col("doc_id").alias("keep_id"))
+    kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col("keep_id"), "left").filter("keep_id is not null or doc_id is null").select(*docs.columns)
+    if first.filter("count > 1").isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+
+
 def hex_fingerprint(fp):
     """16 lowercase hex digits of a signed long column."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
