@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm.decontamination import op5_decontamination
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
+from sieveline.llm.licenses import op2_licenses
 from sieveline.llm.packing import op8_packing
+from sieveline.llm.secrets import op6_secrets
 from sieveline.llm.simhash import op1_simhash_dedup
 from sieveline.llm.toxicity import op10_toxicity
 
@@ -18,7 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
+        "op2_licenses": op2_licenses,
         "op5_decontamination": op5_decontamination,
+        "op6_secrets": op6_secrets,
         "op8_packing": op8_packing,
         "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,
