@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm.decontamination import op5_decontamination
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
+from sieveline.llm.language import op4_language
 from sieveline.llm.licenses import op2_licenses
 from sieveline.llm.packing import op8_packing
 from sieveline.llm.secrets import op6_secrets
@@ -21,6 +22,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_licenses": op2_licenses,
+        "op4_language": op4_language,
         "op5_decontamination": op5_decontamination,
         "op6_secrets": op6_secrets,
         "op8_packing": op8_packing,
