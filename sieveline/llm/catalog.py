@@ -11,6 +11,7 @@ from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
 from sieveline.llm.language import op4_language
 from sieveline.llm.licenses import op2_licenses
 from sieveline.llm.packing import op8_packing
+from sieveline.llm.quality import op7_quality
 from sieveline.llm.secrets import op6_secrets
 from sieveline.llm.simhash import op1_simhash_dedup
 from sieveline.llm.toxicity import op10_toxicity
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op4_language": op4_language,
         "op5_decontamination": op5_decontamination,
         "op6_secrets": op6_secrets,
+        "op7_quality": op7_quality,
         "op8_packing": op8_packing,
         "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,
