@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sieveline.llm.chats import op3_chat_format
 from sieveline.llm.decontamination import op5_decontamination
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
 from sieveline.llm.language import op4_language
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_licenses": op2_licenses,
+        "op3_chat_format": op3_chat_format,
         "op4_language": op4_language,
         "op5_decontamination": op5_decontamination,
         "op6_secrets": op6_secrets,
