@@ -136,7 +136,7 @@ def rate(docs: DataFrame, model: RatioModel, least: float = LEAST_RATIO) -> Data
     grams = counted.select(*names, F.inline_outer(_grams(w)).alias("a", "b"))
     one = F.get(table, _bucket(F.col("a")))
     two = F.when(F.col("b").isNotNull(), F.get(table, _bucket(F.col("a"), F.col("b"))))
-    sums = grams.groupBy(*names).agg((F.sum(one + F.coalesce(two, F.lit(0.0))) / (F.count("a") + F.count("b"))).alias("ratio"))
+    sums = grams.groupBy(*names).agg((F.sum(one + F.coalesce(two, F.lit(0.0))) / F.nullif(F.count("a") + F.count("b"), F.lit(0))).alias("ratio"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rated = sums.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.round("ratio", 9) >= least, F.lit(False)))
     return rated.drop("row")
