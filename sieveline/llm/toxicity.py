@@ -23,7 +23,7 @@ HOMOGLYPHS = str.maketrans("авекмнорстухіјѕԁɡԛԝαβεικνο
 SUBSTITUTES = str.maketrans("013457@$!|", "oieastasil")
 #: Phrases in which a term is not meant as an insult; a hit inside one does not count.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "pond scum", "disgusting smell", "stupid mistake of mine")
-_INNER = re.compile(r"(?<=[a-z])[013457@$!|]+(?=[a-z])|(?<![^\s\"'(])[013457@$]+(?=[a-z]{2})")
+_INNER = re.compile(r"(?<=[a-z])[013457@$!|]+(?=[a-z])|(?<![^\s\"'(])[013457@$]+(?=[a-z][a-z0-9@$!|]*[a-z])")
 _BREAKS = re.compile(r"[\W\d_]+")
 #: Lengths of the word beginnings that may become terms, beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
