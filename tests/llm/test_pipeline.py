@@ -10,7 +10,7 @@ pytest.importorskip("public_tokenizers")
 
 def test_stages_take_effect(spark, tmp_path):
     dice = random.Random(1)
-    text = lambda n: " ".join(f"w{dice.randrange(900)}" for _ in range(n))
+    text = lambda n: " ".join("".join(dice.choices("abcdefgh", k=5)) for _ in range(n))
     item = text(40)
     docs = [[i, text(80), "en", "s", 0] for i in range(60)]
     labels = []
