@@ -78,7 +78,7 @@ class GrayIndex:
     """
 
     def __init__(self, group: np.ndarray, value: np.ndarray, fan: int = 8):
-        order = np.lexsort((gray_rank(value), group))
+        self.order = order = np.lexsort((gray_rank(value), group))
         self.group, self.value = group[order], value[order].astype(np.uint64)
         n = len(order)
         ends = np.flatnonzero(np.r_[self.group[1:] != self.group[:-1], True]) + 1 if n else np.empty(0, np.int64)
