@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, linededup, packing, simhash, toxicity
+from sieveline.llm import decontamination, linededup, nearcopies, packing, toxicity
 from sieveline.storage import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,8 +27,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each class of near duplicates."""
-    return simhash.one_of_each(docs)
+    """One document, that of the smallest doc_id, of each class of texts whose five-word shingles are alike by 0.8 or more."""
+    return nearcopies.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

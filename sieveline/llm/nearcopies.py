@@ -164,7 +164,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, least: float
     return map_rows(two, rows, "u long, v long")
 
 
-def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY) -> DataFrame:
+def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY, split_rows: int = 4096, rows_at_once: int = 1 << 16) -> DataFrame:
     """(doc_id, component_id) for every row of ``docs`` with a doc_id: classes of texts that are alike.
 
     Links join texts of equal words and texts whose sets of ``size``-word shingles have a Jaccard similarity of at
@@ -177,7 +177,7 @@ def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY) ->
     rows = written(signatures(known, size), "signatures")
     copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     nodes = written(copies, "texts")
-    pairs = written(candidates(nodes), "candidates")
+    pairs = written(candidates(nodes, split_rows, rows_at_once), "candidates")
     # first the closest pair of each text, then only pairs that this has left in different classes
     best = pairs.groupBy("u").agg(F.min_by("v", F.struct("bits", "v")).alias("v"))
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
@@ -188,8 +188,8 @@ def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY) ->
     apart = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").filter("coalesce(u_root, u) <> coalesce(v_root, v)")
     more = written(verified(apart.join(best.select("u", "v"), ["u", "v"], "left_anti"), texts, size, least), "links")
     owners = rows.select("doc_id", "copy").join(nodes.select("copy", "node"), "copy").select("doc_id", "node")
-    repeated = owners.filter("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
-    bridges = repeated.select(F.col("most").alias("u"), F.col("least").alias("v"))
+    repeated = owners.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v <> most").drop("most")
+    bridges = owners.join(repeated, "doc_id").filter("node <> v").select(F.col("node").alias("u"), "v")
     links = links.unionByName(more).unionByName(bridges)
     roots = written(components(links), "classes")
     return owners.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("component_id"))
