@@ -1,4 +1,4 @@
-"""Near copies by shingle similarity: Gray-order SimHash search at a wide radius, each link verified exactly."""
+"""Near copies by shingle similarity: texts meet by bands of min-hashes, and pairs that meet are compared exactly."""
 
 from __future__ import annotations
 
@@ -7,21 +7,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.graph import components
 from sieveline.llm.arrow import ASCII_LOWER, map_rows
-from sieveline.llm.simhash import GrayIndex, majority, shingle_hashes
+from sieveline.llm.simhash import shingle_hashes
 from sieveline.storage import written
 
 SIZE = 5
 SIMILARITY = 0.8
 #: Bands of least hashes that two texts may meet by, and hashes in a band: 1 - (1 - 0.8^5)^20 = 0.9996 of pairs at 0.8.
 BANDS, ROWS = 20, 5
-#: Fingerprints at similarity 0.8 differ in 9.7 bits on average with a deviation of 2.9; 22 is over four deviations more.
-RADIUS = 22
-_STEPS = (3, 8, 14)
+#: Rounds in which the texts of a group are compared with one of it, before all pairs that are left.
+_STARS = 3
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -41,114 +40,151 @@ def band_keys(hashes: np.ndarray, at_once: int = 1024) -> list[int]:
     return [int.from_bytes(xxhash.xxh64_digest(b.tobytes(), i), "big", signed=True) for i, b in enumerate(least.reshape(BANDS, ROWS))]
 
 
+def _shingles(hashes: np.ndarray) -> np.ndarray:
+    """The set of the hashes, sorted."""
+    return np.unique(np.ascontiguousarray(hashes).view(">u8").ravel().astype(np.uint64))
+
+
 def similarity(a: str | None, b: str | None, size: int = SIZE) -> float:
     """Jaccard similarity of the sets of shingles (fewer words than ``size``: the whole sequence); two texts without words: 1."""
-    x, y = (np.unique(shingle_hashes(words_of(t), size).view(">u8")) for t in (a, b))
+    x, y = (_shingles(shingle_hashes(words_of(t), size)) for t in (a, b))
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
 def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, copy, fp, bands): 128 bits that equal word sequences share, the fingerprint, the keys of the bands."""
+    """(doc_id, copy, n, bands): 128 bits that equal word sequences share, the number of shingles, repeats included, the keys of the bands."""
 
     def rows(slices: Iterator[dict]) -> Iterator[dict]:
         for x in slices:
-            out: dict[str, list] = {"doc_id": x["doc_id"], "copy": [], "fp": [], "bands": []}
+            out: dict[str, list] = {"doc_id": x["doc_id"], "copy": [], "n": [], "bands": []}
             for text in x["text"]:
                 words = words_of(text)
                 hashes = shingle_hashes(words, size)
                 out["copy"].append(xxhash.xxh3_128_digest(b" ".join(words)))
-                out["fp"].append(int(np.uint64(majority(hashes)).view(np.int64)))
+                out["n"].append(len(hashes))
                 out["bands"].append(band_keys(hashes))
             yield out
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), rows, "doc_id long, copy binary, fp long, bands array<long>")
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), rows, "doc_id long, copy binary, n long, bands array<long>")
+
 
+_GROUP = ["band", "key"]
 
-class _Forest(GrayIndex):
-    """The index, keeping for each merger of classes a pair of leaves that caused it."""
 
-    def __init__(self, group: np.ndarray, value: np.ndarray, fan: int = 8):
-        super().__init__(group, value, fan)
-        self.pairs: list[np.ndarray] = []
+def met(nodes: DataFrame) -> DataFrame:
+    """(band, key, node, n): the groups of two or more texts; ``nodes`` has node, n, bands, a row per distinct text."""
+    keys = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
+    groups = keys.groupBy(*_GROUP).agg(F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    return keys.join(groups, _GROUP).select(*_GROUP, "node", "n")
 
-    def _link(self, a: np.ndarray, b: np.ndarray) -> bool:
-        changed = False
-        while True:
-            x, y = self.label[a], self.label[b]
-            apart = x != y
-            if not apart.any():
-                return changed
-            changed, a, b = True, a[apart], b[apart]
-            low, high = np.minimum(x[apart], y[apart]), np.maximum(x[apart], y[apart])
-            order = np.lexsort((low, high))
-            first = order[np.r_[True, high[order][1:] != high[order][:-1]]]
-            self.pairs.append(np.stack([a[first], b[first]]))
-            self.label[high[first]] = low[first]
-            while (up := self.label[self.label]).tobytes() != self.label.tobytes():
-                self.label = up
 
+def _rooted(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """``groups`` with the root of each node; only groups of two or more classes."""
+    rows = groups.join(classes.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rows.groupBy(*_GROUP).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).filter("low < high")
+    return rows.join(mixed.select(*_GROUP, "rows"), _GROUP)
 
-_GROUP = ["band", "key", "part"]
 
+def star(rows: DataFrame, turn: int) -> DataFrame:
+    """(u, v): for each text the one with which it shares most bands, of the texts that lead its groups in this turn."""
+    leads = rows.groupBy(*_GROUP).agg(F.min_by(F.struct(F.col("node").alias("v"), F.col("root").alias("v_root")), F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("lead"))
+    pairs = rows.join(leads, _GROUP).select(F.col("node").alias("u"), "root", "lead.*").filter("root <> v_root")
+    return pairs.groupBy("u", "v").agg(F.count("*").alias("shared")).groupBy("u").agg(F.max_by("v", F.struct("shared", -F.col("v"))).alias("v"))
 
-def _search(rows_at_once: int, overlap: int = 256):
-    """Streams rows sorted by group; indexes runs of whole groups, and longer groups a run at a time, with an overlap."""
 
-    def pairs(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-        group = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(axis=1)])
-        index = _Forest(group, fps.view(np.uint64))
-        node = nodes[index.order]
-        for radius in (*_STEPS, RADIUS):  # the closest pairs first: links that hold when they are verified
-            index.classes(radius)
-        found = np.concatenate([np.empty((2, 0), np.int64), *index.pairs], axis=1)
-        u, v = node[found[0]], node[found[1]]
-        bits = np.bitwise_count(index.value[found[0]] ^ index.value[found[1]]).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v)), pa.array(bits)], names=["u", "v", "bits"])
+def blocks(rows: DataFrame, split_rows: int, rows_at_once: int) -> DataFrame:
+    """(band, key, i, j, block, node, root): each row of a group in every pair (i, j) of blocks in which it has to be compared.
+
+    A block has at most ``split_rows`` texts and, but for its last text, at most ``rows_at_once`` shingles.  Every two
+    blocks of a group are paired, unless both hold only texts of one and the same class.
+    """
+    weight = F.greatest(F.col("n") * split_rows, F.lit(rows_at_once).cast("long"))
+    before = F.sum(weight).over(Window.partitionBy(*_GROUP).orderBy("root", "node").rowsBetween(Window.unboundedPreceding, 0)) - weight
+    cut = rows.withColumn("block", F.floor(before / F.lit(split_rows * rows_at_once)).cast("long"))
+    of_block = Window.partitionBy(*_GROUP, "block")
+    pure = cut.withColumn("pure", F.min("root").over(of_block) == F.max("root").over(of_block))
+    of_root, own = Window.partitionBy(*_GROUP, "root"), F.when(F.col("pure"), F.col("block"))
+    ends = pure.withColumn("first", F.min(own).over(of_root)).withColumn("end", F.max(own).over(of_root)).withColumn("last", F.max("block").over(Window.partitionBy(*_GROUP)))
+    others = ends.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).filter("not pure or other < first or other > end")
+    return others.select(*_GROUP, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
+
+
+class _Block:
+    """Texts side by side: nodes, classes, sets of shingles, keys of the bands before the one they meet by."""
+
+    def __init__(self, rows: list[tuple]):
+        self.node, self.root = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+        self.sets = [r[2] for r in rows]
+        self.bands = np.array([r[3] for r in rows], np.int64).reshape(len(rows), -1)
+        self.n = np.array([len(s) for s in self.sets], np.int64)
+        self.starts = np.cumsum(self.n) - self.n
+        self.known, self.ids = np.unique(np.concatenate(self.sets), return_inverse=True)
+        self.flags = np.zeros(len(self.known), bool)
+
+    def common(self, other: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """How many shingles of a set the sets ``which`` hold."""
+        at = np.minimum(np.searchsorted(self.known, other), len(self.known) - 1)
+        at = at[self.known[at] == other]
+        self.flags[at] = True
+        if len(which) * 8 < len(self.n):
+            out = np.array([np.count_nonzero(self.flags[self.ids[self.starts[k] : self.starts[k] + self.n[k]]]) for k in which], np.int64)
+        else:
+            out = np.add.reduceat(self.flags[self.ids].astype(np.int64), self.starts)[which]
+        self.flags[at] = False
+        return out
+
+
+def _links(x: _Block, y: _Block, least: float) -> list[tuple[int, int]]:
+    """Links between the blocks, or within one, that make classes meet; every pair of different classes is compared.
+
+    Pairs that share an earlier band are compared there.
+    """
+    found = []
+    for k in range(len(x.n)):
+        fit = (y.root != x.root[k]) & (np.minimum(y.n, x.n[k]) / np.maximum(y.n, x.n[k]) >= least) & ~(y.bands == x.bands[k]).any(axis=1)
+        if x is y:
+            fit[: k + 1] = False
+        which = np.flatnonzero(fit)
+        if not len(which):
+            continue
+        both = y.common(x.sets[k], which)
+        for m in which[both / (x.n[k] + y.n[which] - both) >= least]:
+            old, new = y.root[m], x.root[k]
+            if old != new:
+                found.append((int(x.node[k]), int(y.node[m])))
+                x.root[x.root == old] = new
+                y.root[y.root == old] = new
+    return found
+
+
+def compared(pairs: DataFrame, texts: DataFrame, size: int = SIZE, least: float = SIMILARITY) -> DataFrame:
+    """(u, v): links found in the pairs of :func:`blocks`, every pair of texts of different classes compared."""
+    names = [*_GROUP, "i", "j"]
+    dealt = pairs.join(texts, "node").select(*names, "block", "node", "root", "text").repartition(*names).sortWithinPartitions(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        count = 0
+        now, held = None, ([], [])
+
+        def done() -> pa.RecordBatch:
+            x = [_Block(rows) for rows in held if rows]
+            one = now is not None and now[2] == now[3]
+            links = _links(x[0], x[-1], least) if x and (one or len(x) == 2) else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
         for batch in batches:
-            keys = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in _GROUP], axis=1)
-            held.append((keys, batch.column("fp").to_numpy(), batch.column("node").to_numpy()))
-            count += len(keys)
-            if count < rows_at_once:
-                continue
-            rows = tuple(np.concatenate(c) for c in zip(*held, strict=True))
-            new = np.flatnonzero((rows[0] != rows[0][-1]).any(axis=1))
-            cut = int(new[-1]) + 1 if len(new) else 0
-            yield pairs(*(c[:cut] for c in rows) if cut else rows)
-            rest = cut or max(1, len(rows[0]) - overlap)
-            held, count = [tuple(c[rest:] for c in rows)], len(rows[0]) - rest
-        if count:
-            yield pairs(*(np.concatenate(c) for c in zip(*held, strict=True)))
-
-    return run
-
-
-def candidates(nodes: DataFrame, split_rows: int = 4096, rows_at_once: int = 1 << 16) -> DataFrame:
-    """(u, v, bits): pairs, u > v, that may be similar; ``nodes`` has node, fp, bands, a row per distinct text.
-
-    Of texts with one fingerprint each is paired with the least.  Different fingerprints meet by the key of a band
-    and are searched by the Gray-order index with a wide radius, closest pairs first, no pair within a class that is
-    linked already.  A group over ``split_rows`` is dealt into parts: by leading bits, moved along from band to
-    band, in even bands; by a hash of its own in odd ones.  A text of a large cluster so meets others of it in every
-    band; each row of a group is searched in each of its bands.
-    """
-    least = nodes.groupBy("fp").agg(F.min("node").alias("v"))
-    same = nodes.join(least, "fp").filter("node <> v").select(F.col("node").alias("u"), "v", F.lit(0).alias("bits"))
-    keys = nodes.select("node", "fp", F.posexplode("bands").alias("band", "key"))
-    rows = written(keys.groupBy("band", "key", "fp").agg(F.min("node").alias("node")), "bands")
-    groups = rows.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    parts = F.expr(f"cast(ceil(n / {split_rows}) as int)")
-    turned = F.expr("shiftleft(fp, band * 3) | shiftrightunsigned(fp, 64 - band * 3)")
-    by_bits = F.expr("shiftrightunsigned(turned, 64 - cast(ceil(log2(parts)) as int))")
-    part = F.when(F.col("parts") <= 1, 0).when(F.col("band") % 2 == 0, by_bits).otherwise(F.pmod(F.xxhash64("fp", "band"), "parts"))
-    met = rows.join(groups, ["band", "key"]).withColumn("parts", parts).withColumn("turned", F.when(F.col("band") == 0, F.col("fp")).otherwise(turned))
-    dealt = met.select("band", "key", part.cast("long").alias("part"), "turned", "fp", "node").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "turned")
-    near = dealt.select(*_GROUP, "fp", "node").mapInArrow(_search(rows_at_once), "u long, v long, bits int")
-    return same.unionByName(near).groupBy("u", "v").agg(F.min("bits").alias("bits"))
+            columns = (batch.column(n).to_numpy().tolist() for n in (*names, "block", "node", "root"))
+            for at, (band, key, i, j, block, node, root) in enumerate(zip(*columns, strict=True)):
+                if now != (band, key, i, j):
+                    if (out := done()).num_rows:
+                        yield out
+                    now, held = (band, key, i, j), ([], [])
+                hashes = shingle_hashes(words_of(batch.column("text")[at].as_py()), size)
+                if len(hashes):
+                    held[int(block != i)].append((node, root, _shingles(hashes), band_keys(hashes)[:band]))
+        yield done()
+
+    return dealt.mapInArrow(run, "u long, v long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, least: float = SIMILARITY) -> DataFrame:
@@ -164,29 +200,34 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, least: float
     return map_rows(two, rows, "u long, v long")
 
 
-def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY, split_rows: int = 4096, rows_at_once: int = 1 << 16) -> DataFrame:
+def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY, split_rows: int = 4096, rows_at_once: int = 1 << 19) -> DataFrame:
     """(doc_id, component_id) for every row of ``docs`` with a doc_id: classes of texts that are alike.
 
     Links join texts of equal words and texts whose sets of ``size``-word shingles have a Jaccard similarity of at
-    least ``least``; every link is verified on whole texts, so none joins texts that are less alike.  Pairs are found
-    by :func:`candidates`, which may miss a pair (see BANDS and RADIUS).  component_id is the smallest doc_id that is
-    reachable.  Texts that are null, empty or without words are copies of each other.  Rows that repeat a doc_id are
-    one document with several texts.  An empty table gives an empty table.
+    least ``least``; every link is verified on whole texts, so none joins texts that are less alike.  Texts that share
+    a band are compared, all of them, unless verified links have joined them already; a pair that shares none is
+    missed (see BANDS).  ``split_rows`` and ``rows_at_once`` only set how much a task compares, see :func:`blocks`.
+    component_id is the smallest doc_id that is reachable.  Texts that are null, empty or without words are copies of
+    each other.  Rows that repeat a doc_id are one document with several texts.  An empty table gives an empty table.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     rows = written(signatures(known, size), "signatures")
-    copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = written(copies, "texts")
-    pairs = written(candidates(nodes, split_rows, rows_at_once), "candidates")
-    # first the closest pair of each text, then only pairs that this has left in different classes
-    best = pairs.groupBy("u").agg(F.min_by("v", F.struct("bits", "v")).alias("v"))
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = written(known.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi"), "candidate_texts")
-    links = written(verified(best, texts, size, least), "links")
+    groups = written(met(nodes), "groups")
+    texts = written(known.withColumnRenamed("doc_id", "node").join(groups.select("node").distinct(), "node", "left_semi"), "candidate_texts")
+    # first each text with one of its group, which joins most; then all pairs that this has left in different classes
+    links = written(verified(star(groups.withColumn("root", F.col("node")), 0), texts, size, least), "links")
     classes = written(components(links), "classes")
-    of = lambda n: classes.select(F.col("node").alias(n), F.col("root").alias(f"{n}_root"))
-    apart = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").filter("coalesce(u_root, u) <> coalesce(v_root, v)")
-    more = written(verified(apart.join(best.select("u", "v"), ["u", "v"], "left_anti"), texts, size, least), "links")
+    apart = written(_rooted(groups, classes), "apart")
+    for turn in range(1, _STARS):
+        large = apart.filter("rows > 256")
+        if large.isEmpty():
+            break
+        links = links.unionByName(written(verified(star(large, turn), texts, size, least), "links"))
+        classes = written(components(links), "classes")
+        apart = written(_rooted(apart.drop("root", "rows"), classes), "apart")
+    more = written(compared(blocks(apart, split_rows, rows_at_once), texts, size, least), "links")
     owners = rows.select("doc_id", "copy").join(nodes.select("copy", "node"), "copy").select("doc_id", "node")
     repeated = owners.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v <> most").drop("most")
     bridges = owners.join(repeated, "doc_id").filter("node <> v").select(F.col("node").alias("u"), "v")

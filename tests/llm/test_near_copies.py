@@ -82,3 +82,21 @@ def test_similarity_bounds():
     assert nearcopies.similarity("", None) == 1.0
     assert nearcopies.similarity(a, "") == 0.0
     assert nearcopies.similarity("a b", "a b c") == 0.0
+
+
+def drawn(dice, n):
+    return ["".join(dice.choices("abcdefgh", k=5)) for _ in range(n)]
+
+
+def assert_as_brute_force(spark, rows, **sizes):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r["doc_id"]: r["component_id"] for r in nearcopies.near_copies(frame, **sizes).collect()} == classes_of(rows)
+
+
+def test_texts_of_one_filler_word_are_compared_with_each_other(spark):
+    dice = random.Random(3)
+    filler, other, own = ["spam"] * 400, drawn(dice, 60), drawn(dice, 60)
+    rows = [(1, filler + other), (2, filler + own), (3, filler + [*own[:-1], "last"])]
+    rows = [(i, " ".join(words)) for i, words in rows]
+    assert classes_of(rows) == {1: 1, 2: 2, 3: 2}
+    assert_as_brute_force(spark, rows)
