@@ -100,3 +100,13 @@ def test_texts_of_one_filler_word_are_compared_with_each_other(spark):
     rows = [(i, " ".join(words)) for i, words in rows]
     assert classes_of(rows) == {1: 1, 2: 2, 3: 2}
     assert_as_brute_force(spark, rows)
+
+
+def test_a_repeated_passage_does_not_part_copies(spark):
+    dice, rows = random.Random(4), []
+    for n in (5, 10, 20, 50):
+        for _ in range(5):
+            passage, own = drawn(dice, 25), drawn(dice, 200)
+            rows += [(len(rows) + 1, " ".join(passage + own)), (len(rows) + 2, " ".join(passage * n + own))]
+    assert len(set(classes_of(rows).values())) == len(rows) // 2
+    assert_as_brute_force(spark, rows)
