@@ -110,3 +110,25 @@ def test_a_repeated_passage_does_not_part_copies(spark):
             rows += [(len(rows) + 1, " ".join(passage + own)), (len(rows) + 2, " ".join(passage * n + own))]
     assert len(set(classes_of(rows).values())) == len(rows) // 2
     assert_as_brute_force(spark, rows)
+
+
+def family(seed, size, twins, changes):
+    """Texts alike by less than 0.8 for the most part, and for some of them a copy with ``changes`` more words changed."""
+    dice = random.Random(seed)
+    base, texts = drawn(dice, 300), []
+    for k in range(size):
+        own = list(base)
+        for at in dice.sample(range(5, 295), 5):
+            own[at] = drawn(dice, 1)[0] + str(k)
+        texts.append(own)
+    for k in range(twins):
+        own = list(texts[k])
+        for at in dice.sample(range(5, 295), changes):
+            own[at] = f"twin{k}"
+        texts.append(own)
+    dice.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts, 1)]
+
+
+def test_a_group_in_many_blocks_is_compared_whole(spark):
+    assert_as_brute_force(spark, family(5, 150, 50, 1), split_rows=16, rows_at_once=1 << 19)
