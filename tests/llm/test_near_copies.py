@@ -132,3 +132,10 @@ def family(seed, size, twins, changes):
 
 def test_a_group_in_many_blocks_is_compared_whole(spark):
     assert_as_brute_force(spark, family(5, 150, 50, 1), split_rows=16, rows_at_once=1 << 19)
+
+
+def test_pairs_below_the_bound_hide_none_above_it(spark):
+    rows = family(6, 300, 60, 5)
+    classes = classes_of(rows)
+    assert 100 < len(set(classes.values())) < 301
+    assert_as_brute_force(spark, rows)
