@@ -98,6 +98,13 @@ def _delete_shard(gone: pa.Table, old: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([shard], pa.int32()), pa.array([known.to_bytes()], pa.binary())], names=["shard", "filter"])
 
 
+def _add_shard(missed: pa.Table, old: pa.Table) -> pa.Table:
+    """The shard's filter with keys that it seemed to know."""
+    known = CuckooFilter.from_bytes(old.column("filter")[0].as_py())
+    known.insert(missed.column("k1").to_numpy(), missed.column("k2").to_numpy())
+    return pa.Table.from_arrays([pa.array([old.column("shard")[0].as_py()], pa.int32()), pa.array([known.to_bytes()], pa.binary())], names=["shard", "filter"])
+
+
 @dataclass(frozen=True)
 class LineIndex:
     """The lines of a corpus, open to insertion and deletion of documents.
@@ -105,8 +112,8 @@ class LineIndex:
     postings (shard, k1, k2, doc_id) has the keys of each document; refs (k1, k2, n, first) is the exact
     reference count, with the smallest holder, of every key that two or more documents hold; filters has a
     cuckoo filter of all present keys for each shard.  A key that its shard's filter does not know is new and
-    costs no lookup; for keys that it may know the counts are taken exactly.  A key in the filter but not in
-    refs has count 1.  All three are tables in the shared folder; an operation returns a new index and leaves
+    costs no lookup; for keys that it may know the counts are taken exactly, and those that no document holds go in
+    too, so that each present key has a mark of its own to delete.  A key that is present but not in refs has count 1.  All three are tables in the shared folder; an operation returns a new index and leaves
     the old one as it was.  Shards are ranges of the hash, so they are even; ``shards`` (a power of two) should
     be chosen so that one shard's keys fit a task.
     """
@@ -140,6 +147,8 @@ class LineIndex:
             return replace(self, postings=new, refs=fresh, filters=filters, empty=False)
         both = self.postings.unionByName(new)
         again = out.filter("seen").select(*_KEY)
+        missed = written(out.filter("seen").select("shard", *_KEY).join(self.postings.select(*_KEY), _KEY, "left_anti").select("shard", *_KEY), "missed")
+        filters = written(missed.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(_add_shard, "shard int, filter binary"), "filters")
         recounted = self._count(both.join(again, _KEY, "left_semi"))
         refs = written(self.refs.join(again, _KEY, "left_anti").unionByName(fresh).unionByName(recounted), "refs")
         return replace(self, postings=both, refs=refs, filters=filters)

@@ -153,3 +153,30 @@ def test_insertions_and_deletions_are_reversible(spark):
     again = back.insert(second)
     assert state(again) == state(both)
     assert digests(again.deduplicate(frame)) == lines_by_hand(rows)
+
+
+def lines_of_one_mark():
+    """Two lines that a filter of 16 buckets cannot tell apart."""
+    held = {}
+    for i in range(100_000):
+        line = f"line number {i} of the many"
+        k1, k2 = np.frombuffer(linededup.line_keys(line)[0], "<i8").reshape(2, 1)
+        mark = CuckooFilter._mark(k2)
+        table = CuckooFilter(1).tables[0]
+        bucket = CuckooFilter._bucket(table, k1)
+        place = (int(mark[0]), *sorted((int(bucket[0]), int(table._other(bucket, mark)[0]))))
+        if place in held:
+            return held[place], line
+        held[place] = line
+    raise AssertionError("no two lines with one mark")
+
+
+def test_deleting_a_line_leaves_another_of_its_mark_known(spark):
+    a, b = lines_of_one_mark()
+    frame = lambda *rows: spark.createDataFrame(rows, "doc_id long, text string")
+    one = linededup.LineIndex.create(spark, 1).insert(frame((1, a))).insert(frame((2, b))).delete(frame((2, b)).select("doc_id"))
+    both = one.insert(frame((3, a)))
+    kept = {r["doc_id"]: r["n_dropped"] for r in both.deduplicate(frame((1, a), (3, a))).collect()}
+    assert kept == {1: 0, 3: 1}
+    rows = [tuple(r) for r in both.refs.select("n", "first").collect()]
+    assert rows == [(2, 1)]
