@@ -5,50 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.skew import join_unique
 from sieveline.storage import remove, written
 
 
-def _nearest(pairs: DataFrame) -> DataFrame:
-    """For each u: the least of u and its neighbours."""
-    return pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_nearest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    nearest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    return join_unique(both, nearest, ["u"], "n", 2 * total).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    return (
-        down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .unionByName(least.select("u", F.col("m").alias("v")))
-    )
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = join_unique(down, least, ["u"], "n", total).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v")))
+
+
+def _state(edges: DataFrame) -> tuple:
+    zero = F.lit(0).cast("decimal(38,0)")
+    return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), zero)).first())
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns u, v of one orderable type).
 
     root is the least node of the component.  Each round is written to the shared folder, so a lost executor
-    costs no more than that round.  Edges stay distributed throughout; only counters come to the driver.
-    Self-loops are kept as components of one node, null ends are ignored, repeated edges do no harm and an empty
-    table gives an empty table.
+    costs no more than that round; rounds follow until one changes nothing, which takes about the square of the
+    logarithm of the number of nodes at most.  Edges stay distributed throughout; only counters come to the driver.
+    A node with a large share of all edges is no task of its own (:func:`join_unique`).  Self-loops are kept as
+    components of one node, null ends are ignored, repeated edges do no harm and an empty table gives an empty table.
     """
     edges = edges.select("u", "v").filter("u is not null and v is not null")
     loops = edges.filter("u = v").select("u").distinct()
     now = written(edges.filter("u <> v").distinct(), "edges")
-    before = None
-    for _ in range(max_rounds):
-        nxt = written(_small_star(_large_star(now)).filter("u <> v").distinct(), "edges")
-        state = nxt.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))).first()
+    before = _state(now)
+    while before[0]:
+        nxt = written(_small_star(_large_star(now, before[0]), before[0]).filter("u <> v").distinct(), "edges")
+        state = _state(nxt)
         remove(now)
         now = nxt
-        if state == before or not state[0]:
+        if state == before:
             break
         before = state
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     alone = loops.select(F.col("u").alias("node")).join(nodes.unionByName(roots), "node", "left_anti")
