@@ -1,4 +1,7 @@
-"""Near copies by shingle similarity: texts meet by bands of min-hashes, and pairs that meet are compared exactly."""
+"""Near copies by shingle similarity: SimHash first, then bands of min-hashes for what is alike but differs in more bits.
+
+Every pair that meets either way is compared exactly.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +15,8 @@ from pyspark.sql import functions as F
 
 from sieveline.graph import components
 from sieveline.llm.arrow import ASCII_LOWER, map_rows
-from sieveline.llm.simhash import shingle_hashes
+from sieveline.llm.simhash import majority, near_links, only_one, shingle_hashes
+from sieveline.skew import join_unique
 from sieveline.storage import written
 
 SIZE = 5
@@ -53,20 +57,38 @@ def similarity(a: str | None, b: str | None, size: int = SIZE) -> float:
 
 
 def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, copy, n, bands): 128 bits that equal word sequences share, the number of shingles, repeats included, the keys of the bands."""
+    """(doc_id, copy, n, fp, bands): 128 bits that equal word sequences share, the number of shingles, repeats included, the SimHash of the set of shingles, the keys of the bands."""
 
     def rows(slices: Iterator[dict]) -> Iterator[dict]:
         for x in slices:
-            out: dict[str, list] = {"doc_id": x["doc_id"], "copy": [], "n": [], "bands": []}
+            out: dict[str, list] = {"doc_id": x["doc_id"], "copy": [], "n": [], "fp": [], "bands": []}
             for text in x["text"]:
                 words = words_of(text)
                 hashes = shingle_hashes(words, size)
                 out["copy"].append(xxhash.xxh3_128_digest(b" ".join(words)))
                 out["n"].append(len(hashes))
-                out["bands"].append(band_keys(hashes))
+                own = _shingles(hashes).astype(">u8").view(np.uint8).reshape(-1, 8)
+                out["fp"].append(majority(own))
+                out["bands"].append(band_keys(own))
+            out["fp"] = np.array(out["fp"], np.uint64).view(np.int64)
             yield out
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), rows, "doc_id long, copy binary, n long, bands array<long>")
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), rows, "doc_id long, copy binary, n long, fp long, bands array<long>")
+
+
+def close(nodes: DataFrame, radius: int = 3) -> DataFrame:
+    """(u, v): pairs that the SimHash index links; ``nodes`` has node, n and fp.  Texts of one fingerprint are paired with the least of them.
+
+    A pair that fails the exact comparison hides no other: what it leaves apart meets again by bands.
+    """
+    own = nodes.filter("n > 0").select("node", "fp")
+    leads = written(own.groupBy("fp").agg(F.min("node").alias("lead"), F.count("*").alias("n")), "fingerprints")
+    total = int(leads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    same = join_unique(own, leads, ["fp"], "n", total).filter("node > lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
+    edges = near_links(leads.select("fp"), radius).distinct()
+    name = lambda fp, c: leads.select(F.col("fp").alias(fp), F.col("lead").alias(c))
+    near = edges.join(name("_u", "a"), F.col("u") == F.col("_u")).join(name("_v", "b"), F.col("v") == F.col("_v"))
+    return same.unionByName(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 _GROUP = ["band", "key"]
@@ -204,22 +226,26 @@ def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY, sp
     """(doc_id, component_id) for every row of ``docs`` with a doc_id: classes of texts that are alike.
 
     Links join texts of equal words and texts whose sets of ``size``-word shingles have a Jaccard similarity of at
-    least ``least``; every link is verified on whole texts, so none joins texts that are less alike.  Texts that share
-    a band are compared, all of them, unless verified links have joined them already; a pair that shares none is
-    missed (see BANDS).  ``split_rows`` and ``rows_at_once`` only set how much a task compares, see :func:`blocks`.
+    least ``least``; every link is verified on whole texts, so none joins texts that are less alike.  Links of the
+    SimHash index are tried first.  Then texts that share a band are compared, all of them, unless verified links have
+    joined them already; a pair that shares none and differs in over three bits is missed (see BANDS).  ``split_rows`` and ``rows_at_once`` only set how much a task compares, see :func:`blocks`.
     component_id is the smallest doc_id that is reachable.  Texts that are null, empty or without words are copies of
     each other.  Rows that repeat a doc_id are one document with several texts.  An empty table gives an empty table.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     rows = written(signatures(known, size), "signatures")
-    copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.count("*").alias("rows"))
     nodes = written(copies, "texts")
     groups = written(met(nodes), "groups")
-    texts = written(known.withColumnRenamed("doc_id", "node").join(groups.select("node").distinct(), "node", "left_semi"), "candidate_texts")
-    # first each text with one of its group, which joins most; then all pairs that this has left in different classes
-    links = written(verified(star(groups.withColumn("root", F.col("node")), 0), texts, size, least), "links")
+    pairs = written(close(nodes), "close")
+    wanted = groups.select("node").unionByName(pairs.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
+    texts = written(known.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi"), "candidate_texts")
+    # links of the index, then each text with one of its group, which joins most; then all pairs that this has left in different classes
+    links = written(verified(pairs, texts, size, least), "links")
+    apart = written(_rooted(groups, written(components(links), "classes")), "apart")
+    links = links.unionByName(written(verified(star(apart, 0), texts, size, least), "links"))
     classes = written(components(links), "classes")
-    apart = written(_rooted(groups, classes), "apart")
+    apart = written(_rooted(apart.drop("root", "rows"), classes), "apart")
     for turn in range(1, _STARS):
         large = apart.filter("rows > 256")
         if large.isEmpty():
@@ -228,7 +254,7 @@ def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY, sp
         classes = written(components(links), "classes")
         apart = written(_rooted(apart.drop("root", "rows"), classes), "apart")
     more = written(compared(blocks(apart, split_rows, rows_at_once), texts, size, least), "links")
-    owners = rows.select("doc_id", "copy").join(nodes.select("copy", "node"), "copy").select("doc_id", "node")
+    owners = join_unique(rows.select("doc_id", "copy"), nodes.select("copy", "node", "rows"), ["copy"], "rows", rows.count()).select("doc_id", "node")
     repeated = owners.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v <> most").drop("most")
     bridges = owners.join(repeated, "doc_id").filter("node <> v").select(F.col("node").alias("u"), "v")
     links = links.unionByName(more).unionByName(bridges)
@@ -239,7 +265,7 @@ def near_copies(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY, sp
 def one_of_each(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each class of near copies; columns as they were.
 
-    Of rows that repeat a doc_id one stays.  Rows with a null doc_id stay: nothing tells them apart.
+    Of rows that repeat a doc_id one stays (:func:`only_one`).  Rows with a null doc_id stay: nothing tells them apart.
     """
     classes = written(near_copies(docs, size, least), "near")
     first = classes.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")).filter("doc_id = component_id")
@@ -247,4 +273,4 @@ def one_of_each(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY) ->
     kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col("keep_id"), "left").filter("keep_id is not null or doc_id is null").select(*docs.columns)
     if first.filter("n > 1").isEmpty():
         return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    return only_one(kept.filter("doc_id is not null")).unionByName(kept.filter("doc_id is null"))

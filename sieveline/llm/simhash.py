@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -13,9 +14,12 @@ from pyspark.sql import functions as F
 
 from sieveline.graph import components
 from sieveline.llm.arrow import ASCII_LOWER, map_rows
+from sieveline.skew import join_unique
 from sieveline.storage import written
 
 BITS = 64
+#: How often a group that is too large is dealt again.
+_LEVELS = 4
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _COLUMN = (np.arange(8, dtype=np.int32) * 256)[None, :]
 
@@ -157,53 +161,42 @@ class GrayIndex:
 # ---------------------------------------------------------------- distribution
 
 
-def _blocks(count: int, within: int) -> list[tuple[int, int]]:
-    """(first bit, width) of ``count`` blocks that make up ``within`` bits."""
-    edges = [within * i // count for i in range(count + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]  # noqa: B905
+def _dealt(rows: DataFrame, radius: int) -> DataFrame:
+    """A row for each of ``radius`` + 1 blocks of the bits that are left: fingerprints within the radius agree on one of them.
 
-
-def _rotated(fp, at: int, width: int):
-    """The bits of ``fp`` outside a block, moved together (``fp`` has 64 bits, the result 64 - width)."""
-    low = fp.bitwiseAND(F.lit((1 << at) - 1)) if at else F.lit(0).cast("long")
-    high = F.shiftrightunsigned(fp, at + width) if at + width < BITS else F.lit(0).cast("long")
-    return low.bitwiseOR(F.shiftleft(high, at))
-
-
-def _first_keys(fps: DataFrame, radius: int) -> DataFrame:
-    """A row for each fingerprint and block: fingerprints within the radius agree on one of radius + 1 blocks."""
-    made = []
-    for b, (at, width) in enumerate(_blocks(radius + 1, BITS)):
-        value = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1))
-        made.append(F.struct(F.lit(b).alias("block"), value.cast("int").alias("bits"), _rotated(F.col("fp"), at, width).alias("rest")))
-    return fps.select("fp", F.explode(F.array(*made)).alias("k")).select("fp", "k.*", F.lit(0).alias("sub"), F.lit(0).alias("sub_bits"))
-
-
-def _second_keys(hot: DataFrame, radius: int) -> DataFrame:
-    """Split the groups that are large: again a row for each block of the bits that are left."""
-    cases = None
-    for b, (_, width) in enumerate(_blocks(radius + 1, BITS)):
-        parts = [
-            F.struct(F.lit(s + 1).alias("sub"), F.shiftrightunsigned("rest", at).bitwiseAND(F.lit((1 << w) - 1)).cast("int").alias("sub_bits"))
-            for s, (at, w) in enumerate(_blocks(radius + 1, BITS - width))
-        ]
-        case = F.array(*parts)
-        cases = F.when(F.col("block") == b, case) if cases is None else cases.when(F.col("block") == b, case)
-    return hot.select("fp", "block", "bits", "rest", F.explode(cases).alias("k")).select("fp", "block", "bits", "rest", "k.*")
+    Rows have fp, g (the group so far), rest (the bits that are left, moved together) and width (how many they are).
+    The new g is a hash of the old one, the block and its bits; groups that a collision joins are searched as one.
+    """
+    parts, count = [], radius + 1
+    for i in range(count):
+        at, end = f"cast(width * {i} div {count} as int)", f"cast(width * {i + 1} div {count} as int)"
+        bits = f"shiftrightunsigned(rest, {at}) & (shiftleft(1L, {end} - {at}) - 1)"
+        above = f"if({end} < {BITS}, shiftleft(shiftrightunsigned(rest, {end}), {at}), 0L)"
+        parts.append(f"struct(xxhash64(g, {i}, {bits}) as g, (rest & (shiftleft(1L, {at}) - 1)) | {above} as rest, width - ({end} - {at}) as width)")
+    return rows.select("fp", F.explode(F.expr(f"array({', '.join(parts)})")).alias("k")).select("fp", "k.*")
+
+
+def _groups(fps: DataFrame, radius: int, split_rows: int) -> DataFrame:
+    """(fp, g): groups in which every pair within the radius meets; groups over ``split_rows`` are dealt again while bits are left."""
+    rows = _dealt(fps.select("fp", F.lit(0).cast("long").alias("g"), F.col("fp").alias("rest"), F.lit(BITS).alias("width")), radius)
+    settled = []
+    for _ in range(_LEVELS):
+        hot = written(rows.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > split_rows).select("g"), "hot")
+        if hot.isEmpty():
+            break
+        settled.append(rows.join(hot, "g", "left_anti").select("fp", "g"))
+        rows = written(_dealt(rows.join(hot, "g", "left_semi"), radius), "dealt")
+    return reduce(DataFrame.unionByName, settled, rows.select("fp", "g"))
 
 
 def _local_links(radius: int, rows_at_once: int):
     """Streams rows sorted by group; groups are cut into runs of whole groups, each run indexed at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["block", "bits", "sub", "sub_bits"]
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def links(parts):
-            keys = np.concatenate([p[0] for p in parts])
-            fps = np.concatenate([p[1] for p in parts])
-            group = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(axis=1)])
-            index = GrayIndex(group, fps.view(np.uint64))
+        def links(g: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+            index = GrayIndex(np.cumsum(np.r_[0, g[1:] != g[:-1]]), fps.view(np.uint64))
             label = index.classes(radius)
             i = np.flatnonzero(label != np.arange(len(label)))
             value = index.value.view(np.int64)
@@ -211,19 +204,17 @@ def _local_links(radius: int, rows_at_once: int):
 
         count = 0
         for batch in batches:
-            keys = np.stack([batch.column(n).to_numpy() for n in names], axis=1)
-            held.append((keys, batch.column("fp").to_numpy()))
-            count += len(keys)
+            held.append((batch.column("g").to_numpy(), batch.column("fp").to_numpy()))
+            count += batch.num_rows
             if count < rows_at_once:
                 continue
-            keys, fps = np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held])
-            cut = np.flatnonzero((keys != keys[-1]).any(axis=1))
-            cut = int(cut[-1]) + 1 if len(cut) else 0
+            g, fps = (np.concatenate(x) for x in zip(*held, strict=True))
+            cut = np.searchsorted(g, g[-1])
             if cut:
-                yield links([(keys[:cut], fps[:cut])])
-            held, count = [(keys[cut:], fps[cut:])], len(keys) - cut
+                yield links(g[:cut], fps[:cut])
+            held, count = [(g[cut:], fps[cut:])], len(g) - int(cut)
         if count:
-            yield links(held)
+            yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     return run
 
@@ -233,16 +224,11 @@ def near_links(fps: DataFrame, radius: int = 3, split_rows: int = 2048, rows_at_
 
     ``fps`` has a column fp of distinct values.  Rows are dealt by radius + 1 blocks of bits; a pair within the
     radius agrees on a whole block, so it meets in a group.  Groups over ``split_rows`` are dealt again by blocks
-    of the bits that are left, which is exact for the same reason and spreads a dense cluster over many tasks.
-    Each group is searched by a :class:`GrayIndex`; a fingerprint gets at most one edge per group.
+    of the bits that are left, which is exact for the same reason and spreads a dense cluster over many tasks; up to
+    four times, which leaves 20 of 64 bits at a radius of 3.  Each group is searched by a :class:`GrayIndex`; a
+    fingerprint gets at most one edge per group.
     """
-    keys = _first_keys(fps.select("fp"), radius)
-    hot = keys.groupBy("block", "bits").count().filter(F.col("count") > split_rows).select("block", "bits", F.lit(True).alias("hot"))
-    keys = keys.join(hot, ["block", "bits"], "left")
-    usual = keys.filter("hot is null").select("fp", "block", "bits", "sub", "sub_bits")
-    again = _second_keys(keys.filter("hot"), radius).select("fp", "block", "bits", "sub", "sub_bits")
-    names = ["block", "bits", "sub", "sub_bits"]
-    dealt = usual.unionByName(again).repartition(*names).sortWithinPartitions(*names)
+    dealt = _groups(fps, radius, split_rows).repartition("g").sortWithinPartitions("g")
     return dealt.mapInArrow(_local_links(radius, rows_at_once), "u long, v long")
 
 
@@ -255,19 +241,25 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFram
     Repeated rows stay repeated.  An empty table gives an empty table.
     """
     fps = written(fingerprints(docs, size), "fingerprints")
-    least = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "representatives")
+    least = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "representatives")
     comps = written(components(near_links(least, radius)), "components")
     linked = least.join(comps, least.fp == comps.node).select("fp", "root", "least")
     lowest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = linked.join(lowest, "root").select("fp", F.col("component_id").alias("linked_id"))
-    classes = written(least.join(linked, "fp", "left").select("fp", F.coalesce("linked_id", "least").alias("component_id")), "classes")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = written(least.join(linked, "fp", "left").select("fp", F.coalesce("linked_id", "least").alias("component_id"), "n"), "classes")
+    return join_unique(fps, classes, ["fp"], "n", fps.count()).select("doc_id", "fp", "component_id")
+
+
+def only_one(rows: DataFrame) -> DataFrame:
+    """One row of each doc_id that repeats: that of the least text, then of the least hash of all columns."""
+    least = rows.groupBy("doc_id").agg(F.min_by(F.struct(*rows.columns), F.struct("text", F.xxhash64(*rows.columns))).alias("_row"))
+    return least.select("_row.*")
 
 
 def one_of_each(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each class of near duplicates; columns as they were.
 
-    Of rows that repeat a doc_id one stays.  Rows with a null doc_id stay: nothing tells them apart.
+    Of rows that repeat a doc_id one stays (:func:`only_one`).  Rows with a null doc_id stay: nothing tells them apart.
     """
     classes = written(near_duplicates(docs, size, radius).select("doc_id", "component_id"), "near")
     first = classes.filter("doc_id = component_id").groupBy("doc_id").count()
@@ -275,7 +267,7 @@ def one_of_each(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
     kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col("keep_id"), "left").filter("keep_id is not null or doc_id is null").select(*docs.columns)
     if first.filter("count > 1").isEmpty():
         return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    return only_one(kept.filter("doc_id is not null")).unionByName(kept.filter("doc_id is null"))
 
 
 def hex_fingerprint(fp):
