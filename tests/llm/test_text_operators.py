@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.llm import chats, decontamination, language, licenses, packing, quality, secrets, toxicity
+from sieveline.llm import decontamination, language, licenses, packing, quality, secrets, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -243,30 +243,3 @@ def test_packed_pieces_are_whole(spark):
         ids = [x for r in sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"]) for x in r["ids"]]
         assert ids == [*encode(t or "").tolist(), 2]
     assert packing.pack(docs(spark, texts).limit(0)).count() == 0
-
-
-# ---------------------------------------------------------------- chats
-
-
-def test_calls_are_linked_ordered_and_checked(spark):
-    call = lambda i, n, **a: f"<tool_call>{json.dumps({'id': i, 'name': n, 'arguments': a})}</tool_call>"
-    rows = [
-        (1, 0, "user", 'hé "q"\n'),
-        (1, 1, "assistant", "look " + call("b", "f", x="$result:a") + call("a", "g", k=1)),
-        (1, 2, "tool", '{"id":"a","content":{"z":1,"y":[2]}}'),
-        (1, 3, "tool", '{"id":"b","content":"ok"}'),
-        (1, 4, "tool", '{"id":"zz","content":1}'),
-        (1, 5, "assistant", call("a", "g", k="s")),
-        (2, 0, "assistant", call("p", "f", x="$result:q") + call("q", "f", x="$result:p") + "<tool_call>{bad</tool_call>"),
-        (2, 1, None, None),
-    ]
-    schemas = {"g": {"type": "object", "properties": {"k": {"type": "integer"}}, "required": ["k"]}}
-    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = chats.format_chats(frame, schemas).orderBy("conv_id", "anchor_turn", "level", "anchor_item", "kind", "turn", "item").collect()
-    one = [(r["kind"], r["call_id"], r["linked"], r["error"]) for r in got if r["conv_id"] == 1]
-    assert one == [("message", None, False, None), ("message", None, False, None), ("call", "a", True, None), ("result", "a", True, None), ("call", "b", True, None), ("result", "b", True, None), ("result", "zz", False, "orphan"), ("message", None, False, None), ("call", "a", False, "repeated id; $.k: not of type integer")]
-    two = [(r["call_id"], r["error"]) for r in got if r["conv_id"] == 2 and r["kind"] == "call"]
-    assert two == [("p", "circular"), ("q", "circular"), (None, "unreadable call")]
-    for r in got:
-        assert chats.canonical(json.loads(r["json"])) == r["json"]
-    assert chats.format_chats(frame.limit(0)).count() == 0
