@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,24 +19,39 @@ _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97
 #: Phrases that name a licence.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Statements by which texts place themselves under a licence.
+#: Statements by which texts place themselves under a licence, and the paragraphs of licence texts.
 TEMPLATES = (
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("mit", "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
     ("mit", "Released under the MIT License"),
     ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http www apache org licenses LICENSE-2.0"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program"),
     ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("lgpl", "You should have received a copy of the GNU Lesser General Public License along with this library"),
     ("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("mpl", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
 )
 
 
@@ -60,47 +76,67 @@ class Template:
         return cls(label, order, ceil(threshold * len(order) - 1e-9), len(words) + len(words) // 4)
 
     def blocks(self, places: dict[bytes, list[int]], n: int) -> list[tuple[int, int, int]]:
-        """(first word, last word, words of the template) of the best window around each rare word, where enough stand.
-
-        Any window with ``need`` of the words has one of the first len - need + 1 in global order (prefix).  A text
-        of fewer words than ``need`` has no such window (length).  At the i-th word of the prefix at most len - i
-        words can follow, as the earlier ones were tried before (position); words that the text lacks count too.
+        """(first word, last word, different words of the template) of every block of a text of ``n`` words, in order.
+
+        Going through the text, a block ends the search for it where a window of ``window`` words first holds
+        ``need`` of the words; it starts at the first word such a window needs and reaches to where the most words
+        stand in the window that starts there.  The search goes on behind it, so blocks do not overlap, and every
+        window that holds enough words overlaps one.  Any such window has one of the first len - need + 1 words in
+        global order (prefix): only the neighbourhoods of those are looked at.  A text of fewer words than ``need``
+        has no such window (length), and from the i-th word of the prefix on only the words behind it that the text
+        has can count (position).
         """
         if n < self.need:
             return []
-        missing = sum(w not in places for w in self.order)
-        if len(self.order) - missing < self.need:
-            return []
-        found = []
-        for i in range(len(self.order) - self.need + 1):
-            if len(self.order) - i < self.need:
+        have = [w in places for w in self.order]
+        left = sum(have)
+        near: list[list[int]] = []
+        for i, w in enumerate(self.order[: len(self.order) - self.need + 1]):
+            if left < self.need:
                 break
-            for p in places.get(self.order[i], ()):
-                near = sorted((q, k) for k in range(i, len(self.order)) for q in _between(places.get(self.order[k], ()), p - self.window + 1, p + self.window - 1))
-                best = self._best(near)
-                if best:
-                    found.append(best)
-        return sorted(set(found))
-
-    def _best(self, near: list[tuple[int, int]]) -> tuple[int, int, int] | None:
-        """The window with the most different words, the first of equals, if it has enough."""
-        best, low, held = None, 0, Counter()
-        for q, k in near:
+            near += [[p - self.window + 1, p + self.window - 1] for p in places.get(w, ())]
+            left -= have[i]
+        merged: list[list[int]] = []
+        for low, high in sorted(near):
+            if merged and low <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        found = []
+        for low, high in merged:
+            own = sorted((q, k) for k, w in enumerate(self.order) for q in _between(places.get(w, ()), low, high))
+            if len({k for _, k in own}) >= self.need:
+                found += self._sweep(own)
+        return found
+
+    def _sweep(self, near: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+        """The blocks among places (position, word of the template) in order of position."""
+        low, held, i = 0, Counter(), 0
+        while i < len(near):
+            q, k = near[i]
             held[k] += 1
-            while near[low][0] <= q - self.window:
+            while near[low][0] <= q - self.window or held[near[low][1]] > 1:
                 held[near[low][1]] -= 1
                 if not held[near[low][1]]:
                     del held[near[low][1]]
                 low += 1
-            if len(held) >= self.need and (best is None or len(held) > best[2]):
-                best = (near[low][0], q, len(held))
-        return best
-
+            i += 1
+            if len(held) < self.need:
+                continue
+            start, words, end = near[low][0], set(held), i - 1
+            for j in range(i, len(near)):
+                if near[j][0] >= start + self.window or len(words) == len(self.order):
+                    break
+                if near[j][1] not in words:
+                    words.add(near[j][1])
+                    end = j
+            yield start, near[end][0], len(words)
+            i = low = end + 1
+            held.clear()
 
-def _between(places, low: int, high: int):
-    from bisect import bisect_left, bisect_right
 
-    return places[bisect_left(places, low) : bisect_right(places, high)] if places else ()
+def _between(places: list[int], low: int, high: int) -> list[int]:
+    return places[bisect_left(places, low) : bisect_right(places, high)] if places else []
 
 
 def vocabulary(templates=TEMPLATES) -> set[bytes]:
@@ -128,9 +164,11 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, phr
     doc_id, n_words, n_base (all places of phrases), first_word and last_word (least and greatest start, null if
     none), base_labels, labels (with those of templates; sorted arrays), score (the greatest share of a template's
     words found in a window, 1 for a phrase, 0 for nothing), blocks (label, first_word, last_word, share).
-    A block is a window of a quarter more words than the template has that holds at least ``threshold`` of its
-    different words.  Null and empty texts have no words.  Rows are independent of each other but for the order of
-    words, which is by frequency in all of ``docs`` and changes no result.
+    A block lies in a window of a quarter more words than the template has and holds at least ``threshold`` of its
+    different words; all blocks are found (:meth:`Template.blocks`).  Null and empty texts have no words.  Rows are
+    independent of each other but for the order of words, which is by frequency in all of ``docs``, ties by the word;
+    it changes where the search looks first, not what it finds.  Repeated rows and null doc_ids are rows like any;
+    columns of other names are not looked at; whole texts are scanned; an empty table gives an empty table.
     """
     frequency = frequencies(docs, templates)
     made = [Template.of(label, text, threshold, frequency) for label, text in templates]

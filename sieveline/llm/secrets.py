@@ -7,6 +7,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +27,16 @@ def _either_case(word: str) -> str:
 _ASSIGN = re.compile("(" + "|".join([*map(_either_case, _KEYWORDS[:4]), _either_case("api") + "_?" + _either_case("key")]) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-_BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]*)-----END \1PRIVATE KEY-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{48,}|[A-Za-z0-9_-]{48,})={0,2}(?![A-Za-z0-9+/_=-])")
-_LONG_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){32,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){32,}(?![0-9A-Za-z])")
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,}")
+_BOUND = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*)PRIVATE KEY-----")
+#: How base64 of a DER sequence or of an OpenSSH key begins: the first byte, or the magic, decides it.
+_ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{15}|b3BlbnNzaC1r[A-Za-z0-9+/_-]{4})")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_WRAP = re.compile(r"(?:\r?\n|\\r\\n|\\n)[\x20\t]*(?=[A-Za-z0-9+/_-])")
+_LONG_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Za-z])")
+_OPENSSH = b"openssh-key-v1\0"
 
-INTEGER, BIT_STRING, OCTETS, OID, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
+INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
 
 def der_elements(data: bytes) -> list[tuple[int, bytes]] | None:
@@ -56,40 +61,67 @@ def der_elements(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """Whether ``data`` is one DER sequence that nests as a private or public key does."""
+    """Whether ``data`` is one DER sequence that nests as a private key does; public keys and certificates do not."""
     top = der_elements(data)
     if not top or len(top) != 1 or top[0][0] != SEQUENCE:
         return False
     inner = der_elements(top[0][1])
     if not inner:
         return False
-    tags = [t for t, _ in inner]
+    tags, first = [t for t, _ in inner], inner[0][1]
     if len(tags) >= 9 and set(tags[:9]) == {INTEGER}:
-        return True  # RSA private key
-    if tags == [INTEGER, INTEGER] and len(inner[0][1]) >= 64:
-        return True  # RSA public key
-    if tags[:2] == [INTEGER, OCTETS] and inner[0][1] == b"\x01" and len(inner[1][1]) >= 16:
-        return True  # elliptic curve private key
-    if tags[:3] == [INTEGER, SEQUENCE, OCTETS] or tags == [SEQUENCE, BIT_STRING]:
-        algorithm = der_elements(inner[tags.index(SEQUENCE)][1])
-        return bool(algorithm) and algorithm[0][0] == OID
+        return first in (b"\0", b"\1")  # RSA
+    if tags == [INTEGER] * 6:
+        return first == b"\0"  # DSA
+    if tags[:2] == [INTEGER, OCTETS]:
+        return first == b"\1" and len(inner[1][1]) >= 16  # elliptic curve
+    if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:
+        algorithm = der_elements(inner[1][1])  # any, by algorithm
+        return first in (b"\0", b"\1") and bool(algorithm) and algorithm[0][0] == OID
+    if tags == [SEQUENCE, OCTETS]:
+        algorithm = der_elements(first)  # any, encrypted
+        return bool(algorithm) and algorithm[0][0] == OID and len(inner[1][1]) >= 16
     return False
 
 
+def ssh_size(data: bytes) -> int | None:
+    """How many bytes of ``data`` an OpenSSH private key at its start takes; None if its fields do not add up."""
+    if not data.startswith(_OPENSSH):
+        return None
+    at, count = len(_OPENSSH), 3  # cipher, derivation and its options; then keys
+    while count:
+        if at + 4 > len(data):
+            return None
+        at, count = at + 4 + int.from_bytes(data[at : at + 4], "big"), count - 1
+    if at + 4 > len(data):
+        return None
+    count, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4  # public keys and the private part
+    for _ in range(count):
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if at <= len(data) else None
+
+
 def is_ssh_key(data: bytes) -> bool:
-    """Whether ``data`` is an OpenSSH key: its header, then strings whose lengths add up."""
-    if data.startswith(b"openssh-key-v1\0"):
-        at, fields = 15, 0
-        while fields < 3 and at + 4 <= len(data):
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-            fields += 1
-        return fields == 3 and at + 4 <= len(data)
-    if data[:4] in (b"\0\0\0\x07", b"\0\0\0\x0b", b"\0\0\0\x13") and data[4:8] in (b"ssh-", b"ecds"):
-        at = 0
-        while at + 4 <= len(data):
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        return at == len(data)
-    return False
+    return ssh_size(data) == len(data)
+
+
+def is_private_key(data: bytes | None) -> bool:
+    return bool(data) and (is_der_key(data) or is_ssh_key(data))
+
+
+def der_size(data: bytes) -> int | None:
+    """How many bytes the DER sequence that ``data`` begins with takes in all; None if it begins with none."""
+    if len(data) < 6 or data[0] != SEQUENCE:
+        return None
+    size, at = data[1], 2
+    if size & 0x80:
+        width = size & 0x7F
+        if not 1 <= width <= 4:
+            return None
+        size, at = int.from_bytes(data[2 : 2 + width], "big"), 2 + width
+    return at + size
 
 
 def decode64(text: str) -> bytes | None:
@@ -106,12 +138,91 @@ def decode64(text: str) -> bytes | None:
 def is_signed_token(header: str, payload: str) -> bool:
     """Whether the parts decode to the JSON header (with an algorithm) and JSON payload of a signed token."""
     try:
-        first, second = (json.loads(decode64(p) or b"") for p in (header, payload))
+        first, second = (json.loads((decode64(p) or b"").decode("utf-8")) for p in (header, payload))
     except (ValueError, RecursionError):
         return False
     return isinstance(first, dict) and isinstance(first.get("alg"), str) and isinstance(second, dict)
 
 
+def token_spans(text: str) -> list[tuple[int, int]]:
+    """Signed tokens: three parts in a row of a dotted run, wherever in it they start; leading hyphens and underscores are not part of one.
+
+    A header is a JSON object, so its base64 starts as that of a brace or of white space does; others are not decoded.
+    """
+    out = []
+    for m in _DOTTED.finditer(text):
+        parts, at, k = m[0].split("."), m.start(), 0
+        while k + 2 < len(parts):
+            head = parts[k].lstrip("-_")
+            if head[:1] in ("e", "I", "C", "D") and len(head) >= 8 and is_signed_token(head, parts[k + 1]):
+                end = at + len(parts[k]) + len(parts[k + 1]) + len(parts[k + 2]) + 2
+                out.append((at + len(parts[k]) - len(head), end))
+                at, k = end + 1, k + 3
+            else:
+                at, k = at + len(parts[k]) + 1, k + 1
+    return out
+
+
+def block_spans(text: str) -> list[tuple[int, int]]:
+    """Private keys between a BEGIN line and the END line next to it that has its label.
+
+    Line breaks may be escapes, lines may be quoted or indented, header lines may precede the body.  A body is DER or
+    OpenSSH, or, where the headers say that it is encrypted, whole cipher blocks.
+    """
+    marks = list(_BOUND.finditer(text))
+    out = []
+    for a, b in zip(marks, marks[1:]):  # noqa: B905
+        if (a[1], b[1]) != ("BEGIN", "END") or a[2] != b[2]:
+            continue
+        lines = [x.strip(" \t\"',;>|") for x in re.split(r"\r?\n|\\r\\n|\\n", text[a.end() : b.start()])]
+        headers = [x for x in lines if ":" in x]
+        data = decode64("".join(x for x in lines if ":" not in x))
+        hidden = any("ENCRYPTED" in h for h in headers) and any(re.match(r"DEK-Info: ?[A-Z0-9-]+, ?[0-9A-Fa-f]{16,}$", h) for h in headers)
+        if is_private_key(data) or hidden and data and len(data) % 8 == 0:
+            out.append((a.start(), b.end()))
+    return out
+
+
+def encoded_spans(text: str) -> list[tuple[int, int]]:
+    """Private keys in base64, on one line or wrapped over lines: the nested lengths say where a key ends, and there the base64 has to end."""
+    out, done = [], 0
+    for m in _ENCODED.finditer(text):
+        if m.start() < done:
+            continue
+        runs, at, have, need = [], m.start(), 0, None
+        head = decode64(m[0][:16])
+        size = der_size(head) if head else None
+        if size is None and (head is None or not head.startswith(_OPENSSH[: len(head)])):
+            continue
+        need = None if size is None else -(-size * 4 // 3)
+        while (run := _RUN.match(text, at)) and (need is None or have < need):
+            runs.append(run)
+            have += len(run[0])
+            wrap = _WRAP.match(text, run.end())
+            if not wrap:
+                break
+            at = wrap.end()
+        if need is None:
+            joined = "".join(r[0] for r in runs)
+            size = ssh_size(decode64(joined[: len(joined) // 4 * 4]) or b"")
+            if size is None:  # the last bytes may be in an open group
+                size = ssh_size(decode64(joined) or b"")
+            if size is None:
+                continue
+            need = -(-size * 4 // 3)
+        text_of, end = "", None
+        for r in runs:
+            text_of += r[0]
+            if len(text_of) >= need:
+                end = r.end() if len(text_of) == need else None
+                break
+        if end is not None and is_private_key(decode64(text_of)):
+            end += len(re.match(r"={0,2}", text[end : end + 2])[0])
+            out.append((m.start(), end))
+            done = end
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of the three plain patterns, in code points."""
     out = []
@@ -125,23 +236,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
-    """Spans whose decoded structure shows a signed token or a key."""
-    out = []
-    if "eyJ" in text or "ewog" in text or "eyAi" in text or "." in text and "eyAg" in text:
-        out += [(m.start(), m.end(), 3) for m in _TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
-    if "PRIVATE KEY-----" in text:
-        for m in _BLOCK.finditer(text):
-            data = decode64(m[2])
-            if data and (is_der_key(data) or is_ssh_key(data)):
-                out.append((m.start(), m.end(), 4))
-    for m in _BASE64.finditer(text):
-        data = decode64(m[0])
-        if data and (is_der_key(data) or is_ssh_key(data)):
-            out.append((m.start(), m.end(), 5))
-    for m in _LONG_HEX.finditer(text):
-        data = bytes.fromhex(m[0])
-        if is_der_key(data) or is_ssh_key(data):
-            out.append((m.start(), m.end(), 6))
+    """Spans whose decoded structure shows a signed token or a private key; keys within a key block are not listed again."""
+    out = [(a, b, 3) for a, b in token_spans(text)]
+    blocks = block_spans(text) if "PRIVATE KEY-----" in text else []
+    out += [(a, b, 4) for a, b in blocks]
+    single = [(a, b, 5) for a, b in encoded_spans(text)]
+    single += [(m.start(), m.end(), 6) for m in _LONG_HEX.finditer(text) if is_private_key(bytes.fromhex(m[0]))]
+    starts = [a for a, _ in blocks]
+    out += [(a, b, k) for a, b, k in single if not (i := bisect_right(starts, a)) or b > blocks[i - 1][1]]
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
@@ -152,7 +254,10 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, base array, confirmed array): spans (start, end, kind) of each text, in code points, end exclusive.
 
-    Null and empty texts have none.  Rows are independent: repeated rows and null doc_ids are scanned like any.
+    Null and empty texts have none.  Rows are independent: repeated rows and null doc_ids are scanned like any, and
+    columns of other names are not looked at.  Base spans of one kind do not overlap; spans of different kinds may,
+    and those of one start are listed in the order of KINDS.  Whole texts are scanned, in time about linear in their
+    length.  An empty table gives an empty table.
     """
 
     def rows(slices: Iterator[dict]) -> Iterator[dict]:

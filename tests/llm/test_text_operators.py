@@ -1,6 +1,5 @@
 """Operators on single texts, against brute force and hand-made cases."""
 
-import json
 import random
 import re
 from collections import Counter
@@ -9,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, language, licenses, packing, quality, secrets, toxicity
+from sieveline.llm import decontamination, language, packing, quality, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -23,66 +22,6 @@ def words(n, seed=0):
     return [f"w{dice.randrange(400)}" for _ in range(n)]
 
 
-# ---------------------------------------------------------------- licences
-
-
-def test_license_phrases_and_templates(spark):
-    texts = ["The MIT\nLicense. mit license", "Licensed under CC BY-NC 4.0.", "permission to use the license", None, "", "x " * 50 + "Licensed under the Apache License, Version 2.0."]
-    got = licenses.scan(docs(spark, texts)).orderBy("doc_id").collect()
-    assert [(r["n_words"], r["n_base"], r["first_word"], r["last_word"]) for r in got[:2]] == [(5, 2, 1, 3), (7, 0, None, None)]
-    assert got[1]["labels"] == ["cc-by-nc"] and got[1]["base_labels"] == []
-    assert got[2]["labels"] == [] and got[2]["score"] == 0.0
-    assert [r["n_words"] for r in got[3:5]] == [0, 0]
-    assert got[5]["base_labels"] == ["apache"] and got[5]["blocks"][0]["first_word"] >= 50
-
-
-def test_license_blocks_match_brute_force():
-    dice = random.Random(5)
-    vocab = [b"a", b"b", b"c", b"d", b"e", b"f", b"x", b"y"]
-    t = licenses.Template.of("t", "a b c d e f", 0.8, {b"a": 9, b"b": 1})
-    for _ in range(300):
-        text = [dice.choice(vocab) for _ in range(dice.randrange(30))]
-        places = {}
-        for i, w in enumerate(text):
-            places.setdefault(w, []).append(i)
-        want = any(len(set(text[i : i + t.window]) & set(t.order)) >= t.need for i in range(len(text)))
-        assert bool(t.blocks(places, len(text))) == want
-
-
-# ---------------------------------------------------------------- secrets
-
-
-def test_secret_base_spans():
-    text = 'é PassWord = "abc-123" token: x token=abcdef AKIA' + "A" * 16 + " deadbeef" * 3 + " " + "0a" * 12
-    got = secrets.base_spans(text)
-    assert [secrets.KINDS[k] for _, _, k in got] == ["assign", "assign", "access", "hex"]
-    assert text[got[0][0] : got[0][1]] == 'PassWord = "abc-123'
-    assert secrets.base_spans("\u017fecret=abcdef to\u212aen=abcdef") == []
-
-
-def test_structures_confirm_candidates():
-    import base64
-
-    number = lambda n: bytes([2, n]) + b"\x01" * n
-    body = b"".join(number(20) for _ in range(9))
-    key = b"\x30\x81" + bytes([len(body)]) + body
-    assert secrets.is_der_key(key) and not secrets.is_der_key(key[:-1]) and not secrets.is_der_key(key + b"\0")
-    plain = base64.b64encode(key).decode()
-    assert [secrets.KINDS[k] for _, _, k in secrets.confirmed_spans(f"x {plain} y {key.hex()}")] == ["encoded_key", "hex_key"]
-    assert secrets.confirmed_spans("A" * 64) == []
-    part = lambda v: base64.urlsafe_b64encode(json.dumps(v).encode()).decode().rstrip("=")
-    token = f"{part({'alg': 'HS256'})}.{part({'sub': 'x'})}.c2ln"
-    assert [secrets.KINDS[k] for _, _, k in secrets.confirmed_spans(f"<{token}>")] == ["signed_token"]
-    assert secrets.confirmed_spans(f"{part({'typ': 'no'})}.{part({'sub': 'x'})}.c2ln") == []
-    block = f"-----BEGIN RSA PRIVATE KEY-----\n{plain}\n-----END RSA PRIVATE KEY-----"
-    assert "key_block" in [secrets.KINDS[k] for _, _, k in secrets.confirmed_spans(block)]
-
-
-def test_secret_scan_of_null_and_empty(spark):
-    got = secrets.scan(docs(spark, [None, "", "token=abcdefg"])).orderBy("doc_id").collect()
-    assert [r["spans"] for r in got] == ["", "", "assign:0:13"]
-
-
 # ---------------------------------------------------------------- quality
 
 
