@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, language, packing, quality, toxicity
+from sieveline.llm import language, packing, quality, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -108,34 +108,6 @@ def test_folding():
     assert toxicity.fold(None) == "  "
 
 
-# ---------------------------------------------------------------- decontamination
-
-
-def test_contamination_matches_brute_force(spark):
-    items = [(1, " ".join(words(30, 91))), (2, " ".join(words(12, 92))), (3, "only three words"), (4, None), (5, " ")]
-    one = words(30, 91)
-    changed = [*one[:15], "other", *one[16:]]
-    texts = [
-        " ".join([*words(50, 1), *one, *words(50, 2)]),
-        " ".join([*words(50, 3), *changed, *words(50, 4)]),
-        " ".join([*words(50, 5), *one[:15], *words(60, 6)]),
-        "x " + ", ".join(words(12, 92)).upper() + "!",
-        "Only three words",
-        None,
-        "",
-        " ".join(words(200, 7)),
-    ]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r for r in decontamination.contaminations(docs(spark, texts), bench).collect()}
-    assert set(got) == {(0, 1), (1, 1), (3, 2), (4, 3)}
-    assert got[0, 1]["similarity"] == 1.0 and got[0, 1]["first_word"] == 50 and 0.8 <= got[1, 1]["similarity"] < 1
-    again = decontamination.contaminations(docs(spark, texts), bench, at_once=1)
-    assert {(r["doc_id"], r["item_id"]) for r in again.collect()} == set(got)
-    clean = decontamination.decontaminate(docs(spark, texts).withColumn("item_id", F.lit("clash")), bench)
-    assert sorted(r["doc_id"] for r in clean.collect()) == [2, 5, 6, 7] and clean.columns == ["doc_id", "text", "item_id"]
-    assert decontamination.contaminations(docs(spark, texts), bench.limit(0)).count() == 0
-
-
 # ---------------------------------------------------------------- packing
 
 
