@@ -38,7 +38,6 @@ class _Table:
         owner = left[after]
         mark, bucket = mark[owner], bucket[owner]
         dice = np.random.default_rng(len(self.slots))
-        trail: list[tuple[np.ndarray, ...]] = []
         for _ in range(rounds):
             if not len(mark):
                 break
@@ -48,7 +47,6 @@ class _Table:
             at = bucket[one]
             moved = self.slots[at, slot].copy()
             self.slots[at, slot] = mark[one]
-            trail.append((at, slot, moved))
             mark = np.r_[moved, mark[rest]]
             bucket = np.r_[self._other(at, moved), bucket[rest]]
             left = self._place(mark, bucket)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from sieveline.llm.arrow import map_rows
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 #: Language families by language code; a code that is not here is a family of its own.
 FAMILIES = {
     "germanic": "en de nl af sv da no nb nn is fo fy lb yi",
@@ -32,6 +31,11 @@ FAMILIES = {
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; fractions, numerals and other numbers are none."""
+    return any(c.isalpha() for c in text)
+
+
 def family_of(lang: str) -> str:
     return _FAMILY.get(re.split(r"[-_]", lang.lower())[0], lang)
 
@@ -106,7 +110,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and a score from 0 to 1: how clear the narrowest decision on the way was."""
-        if not text or not self.members or not _LETTER.search(text):
+        if not text or not self.members or not has_letter(text):
             return UNKNOWN, 0.0
         x = np.append(features(text, self.size), 1.0)
         margins, at = [], 0
@@ -148,17 +152,24 @@ def learn(docs: DataFrame, per_lang: int = 300, most_rows: int = 6000, size: int
 
     def turn(slices: Iterator[dict]) -> Iterator[dict]:
         for x in slices:
-            kept = [(lang, text) for lang, text in zip(x["lang"], x["text"], strict=True) if _LETTER.search(text)]
-            yield {"lang": [k for k, _ in kept], "x": [features(t, size).astype(np.float32).tobytes() for _, t in kept]}
+            kept = [(lang, features(text, size).astype(np.float32)) for lang, text in zip(x["lang"], x["text"], strict=True) if has_letter(text)]
+            yield {"lang": [k for k, _ in kept], "at": [np.flatnonzero(v).astype(np.int32).tobytes() for _, v in kept], "x": [v[v != 0].tobytes() for _, v in kept]}
 
-    found = sorted(map_rows(ranked.select("lang", "text"), turn, "lang string, x binary").collect())
+    found = sorted(map_rows(ranked.select("lang", "text"), turn, "lang string, at binary, x binary").collect())
     if not found:
         return LanguageModel(size, (), None, ())
-    return LanguageModel.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in found]).astype(float), [r["lang"] for r in found])
+    x = np.zeros((len(found), size))
+    for row, r in zip(x, found, strict=True):
+        row[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["x"], np.float32)
+    return LanguageModel.fit(x, [r["lang"] for r in found])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row from its text alone; 'und' and 0 for a text that is null or has no letter."""
+    """(doc_id, lang_pred, score) of every row from its whole text alone; 'und' and 0 for a text that is null or has no letter.
+
+    Repeated rows and null doc_ids are rows like any; ties of languages go to the first by name within a family and to
+    the first family by name; columns of other names are not looked at; an empty table gives an empty table.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(slices: Iterator[dict]) -> Iterator[dict]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import ASCII_LOWER, columns_of, map_rows
 from sieveline.llm.cuckoo import CuckooFilter
+from sieveline.skew import join_unique
 from sieveline.storage import written
 
 MIN_CHARS = 10
@@ -137,8 +138,17 @@ class LineIndex:
         return sums.filter("first <> last").drop("last")
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """With the documents of ``docs`` (doc_id, text).  Documents that are in already must not be inserted again."""
-        new = written(postings(docs, self.shards), "postings")
+        """With the documents of ``docs`` (doc_id, text).
+
+        A document that is in already, or several rows of one doc_id, is one document with all their lines: each
+        key of it counts once.
+        """
+        new = postings(docs, self.shards)
+        if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+            new = new.distinct()
+        if not self.empty:
+            new = new.join(self.postings.select(*_KEY, "doc_id"), [*_KEY, "doc_id"], "left_anti").select("shard", *_KEY, "doc_id")
+        new = written(new, "postings")
         partial = new.mapInArrow(_partial, _PARTIAL)
         out = written(partial.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_insert_shard, _SHARD_OUT), "shards")
         filters = out.filter("filter is not null").select("shard", "filter")
@@ -166,7 +176,8 @@ class LineIndex:
 
     def dropped(self) -> DataFrame:
         """(doc_id, drop): the keys that each document loses, those of which another document is the first holder."""
-        lost = self.postings.select(*_KEY, "doc_id").join(self.refs.select(*_KEY, "first"), _KEY).filter("doc_id <> first")
+        refs = self.refs.select(*_KEY, "first", "n")
+        lost = join_unique(self.postings.select(*_KEY, "doc_id"), refs, _KEY, "n", self.postings.count()).filter("doc_id <> first")
         return lost.groupBy("doc_id").agg(F.collect_list(F.struct(*_KEY)).alias("drop"))
 
     def deduplicate(self, docs: DataFrame) -> DataFrame:
@@ -211,7 +222,8 @@ def deduplicate_lines(docs: DataFrame) -> DataFrame:
 
     Keys are lines stripped of ASCII white space with A-Z lower-cased.  All lines with such a key go, except in
     the smallest doc_id that holds it.  Null texts count as empty: one empty line.  Rows with a null doc_id are no
-    documents: they lend no keys and lose no lines.  Repeated rows of a doc_id are one document.  Other columns
+    documents: they lend no keys and lose no lines.  Repeated rows of a doc_id are one document: a line that only
+    they hold stays in all of them.  Whole texts count, however long; an empty table gives an empty table.  Other columns
     are kept; columns named n_lines, n_dropped or drop are replaced.
     """
     index = LineIndex.create(docs.sparkSession, shards_for(docs)).insert(docs)

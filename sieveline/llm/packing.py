@@ -9,6 +9,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ class Encoder:
     PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z\xdf-\xf6\xf8-\xff0-9]+")
     CHUNK = re.compile(r"[^\t\n\r ]+")
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 262_144):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -175,24 +176,26 @@ def pack(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None
 
     doc_id, start (the document's ids before it), length, ids_crc32, doc_tokens, [ids,] sequence_id, offset.
     A null text is empty: one piece with the end id alone.  Null doc_ids and repeated rows are documents like any
-    other.  An empty table gives an empty table.  The histogram, of at most ``length`` rows, is planned on the
+    other; pieces that are equal in doc_id, start and checksum may change places with each other.  Long texts are cut,
+    every id of theirs lies in one piece.  Columns of other names are not looked at.  An empty table gives an empty table.  The histogram, of at most ``length`` rows, is planned on the
     driver; pieces are joined to the plan by their rank within their length.
     """
     parts = written(pieces(docs, length, end, path, with_ids), "pieces")
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = parts.sparkSession.sparkContext.broadcast(slots(plan_packs(histogram, length)))
     total = sum(histogram.values())
-    named = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    names = [*parts.columns, "sequence_id", "offset"]
 
-    def rows(slices: Iterator[dict]) -> Iterator[dict]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sequence, offset = plan.value
-        for x in slices:
-            rank = np.array(x.pop("rank"), np.int64)
-            size = np.array(x["length"], np.int64)
+        for b in batches:
+            rank, size = b.column("rank").to_numpy(), b.column("length").to_numpy()
             at = np.searchsorted(keys, size << 40 | rank, side="right") - 1
-            yield x | {"sequence_id": sequence[at] + rank - (keys[at] & ((1 << 40) - 1)), "offset": offset[at]}
+            made = {"sequence_id": pa.array(sequence[at] + rank - (keys[at] & ((1 << 40) - 1))), "offset": pa.array(offset[at])}
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
 
-    return map_rows(ranked(parts, max(16, total // 50_000)), rows, named + ", sequence_id long, offset long")
+    ranks = ranked(parts, max(16, total // 50_000))
+    return ranks.mapInArrow(place, parts.schema.add("sequence_id", "long").add("offset", "long"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

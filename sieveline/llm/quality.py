@@ -14,6 +14,8 @@ BUCKETS = 10_000
 ENDING = 3
 #: Documents with a lower mean log ratio are not kept.
 LEAST_RATIO = -0.5
+#: Trusted ids up to which they are broadcast: 32 MB.
+BROADCAST_IDS = 2_000_000
 #: Bits of a position within a text, in longs that hold a hash above and a position below.
 _POSITION = 20
 
@@ -28,8 +30,9 @@ def with_repeated_words(df: DataFrame, w: str, out: str) -> DataFrame:
     """``df`` with a column ``out``: how many words of the array ``w`` stand in a run of three that occurs there twice or more.
 
     Hashes of the runs are sorted with their positions in one long each (44 bits and 20); equal neighbours are
-    compared word by word.  Texts of 2^20 words or more use pairs of a whole hash and a position instead.  Each
-    step is a projection of its own: a column that a lambda reads must be there, not be made anew per element.
+    compared word by word.  Where two different runs share 44 bits, and in texts of 2^20 words or more, the runs
+    themselves are sorted with their positions instead, so the count is exact for every text.  Each step is a
+    projection of its own: a column that a lambda reads must be there, not be made anew per element.
     """
     low = F.lit((1 << _POSITION) - 1).cast("long")
     run = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
@@ -38,22 +41,24 @@ def with_repeated_words(df: DataFrame, w: str, out: str) -> DataFrame:
 
     def same(x: Column, y: Column) -> Column:
         i, j = at(x), at(y)
-        equal = (F.get(w, i) == F.get(w, j)) & (F.get(w, i + 1) == F.get(w, j + 1)) & (F.get(w, i + 2) == F.get(w, j + 2))
-        return F.when(F.shiftright(x, _POSITION) == F.shiftright(y, _POSITION), equal).otherwise(False)
+        return (F.get(w, i) == F.get(w, j)) & (F.get(w, i + 1) == F.get(w, j + 1)) & (F.get(w, i + 2) == F.get(w, j + 2))
 
     def neighbours(of: str, equal) -> Column:
         return F.filter(of, lambda x, k: equal(x, F.get(of, k + 1)) | equal(x, F.get(of, k - 1)))
 
     small = F.size(w) < (1 << _POSITION)
     names = df.columns
-    df = df.select(
-        "*",
-        F.when(small, F.sort_array(F.transform(spots, lambda i: run(i).bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))))).alias("_packed"),
-        F.when(~small, F.array_sort(F.transform(spots, lambda i: F.struct(run(i).alias("h"), i.alias("p"))))).alias("_pairs"),
-    )
+    df = df.select("*", F.when(small, F.sort_array(F.transform(spots, lambda i: run(i).bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))))).alias("_packed"))
+    alike = lambda x, y: F.coalesce(F.shiftright(x, _POSITION) == F.shiftright(y, _POSITION), F.lit(False))
+    df = df.select(*names, neighbours("_packed", alike).alias("_alike"))
+    clash = F.size(F.filter("_alike", lambda x, k: alike(x, F.get("_alike", k + 1)) & ~same(x, F.get("_alike", k + 1)))) > 0
+    df = df.select(*names, "_alike", (~small | clash).alias("_whole"))
+    both = F.when(~F.col("_whole"), F.transform("_alike", at))
+    text_of = lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    df = df.select(*names, both.alias("_short"), F.when(F.col("_whole"), F.array_sort(F.transform(spots, lambda i: F.struct(text_of(i).alias("h"), i.alias("p"))))).alias("_pairs"))
     twin = lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False))
-    df = df.select(*names, neighbours("_packed", same).alias("_short"), neighbours("_pairs", twin).alias("_long"))
-    positions = F.sort_array(F.coalesce(F.transform("_short", at), F.transform("_long", lambda x: x["p"])))
+    df = df.select(*names, "_short", neighbours("_pairs", twin).alias("_long"))
+    positions = F.sort_array(F.coalesce("_short", F.transform("_long", lambda x: x["p"])))
     covered = F.aggregate(
         positions,
         F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
@@ -87,15 +92,17 @@ class RatioModel:
         return F.split(F.lit(",".join(map(repr, self.ratios))), ",").cast("array<double>")
 
 
-def fit(docs: DataFrame, target: DataFrame, most: int = 20_000) -> RatioModel:
+def fit(docs: DataFrame, target: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> RatioModel:
     """Multinomials over hashed 1- and 2-grams of word endings: of all ``docs`` (doc_id, text), and of trusted ones.
 
-    ``target`` (doc_id) names the trusted documents; at most ``most`` of them, those with the least hash, are
-    used, which bounds what is broadcast.  The corpus multinomial counts every document.  Each bucket gets one
-    count more, so that none is empty; without any trusted document all ratios are 0.
+    ``target`` (doc_id) names the trusted documents; all of them count, as does every document of the corpus.  Up to
+    ``broadcast_ids`` ids are broadcast, more are joined by a shuffle.  Each bucket gets one count more, so that none
+    is empty; without any trusted document all ratios are 0.  Repeated rows count each; null doc_ids are not trusted;
+    null and empty texts count for nothing.
     """
-    trusted = target.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left")
+    trusted = target.select("doc_id").filter("doc_id is not null").distinct().withColumn("trusted", F.lit(1))
+    few = trusted.limit(broadcast_ids + 1).count() <= broadcast_ids
+    marked = docs.select("doc_id", "text").join(F.broadcast(trusted) if few else trusted.hint("shuffle_hash"), "doc_id", "left")
     pairs = marked.select("trusted", F.inline(_grams(words(F.col("text")))).alias("a", "b"))
     grams = pairs.select("trusted", F.explode(F.array(_bucket(F.col("a")), F.when(F.col("b").isNotNull(), _bucket(F.col("a"), F.col("b"))))).alias("bucket")).filter("bucket is not null")
     counts = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count("trusted").alias("m"))
@@ -117,7 +124,8 @@ def rate(docs: DataFrame, model: RatioModel, least: float = LEAST_RATIO) -> Data
     doc_id, n_words, word_chars (code points in words), n_symbols (of #*$%&|<>), n_dup_lines, n_repeat_words,
     base_failed (fewer than 50 words, or over half of them in repeated runs), ratio (mean log ratio of the
     n-grams, null for none), kept (not base_failed, and a ratio of at least ``least``).  Null and empty texts have
-    no words and fail.  Each row is rated by itself, repeated rows and null doc_ids too.
+    no words and fail.  Each row is rated by itself and by its whole text, repeated rows and null doc_ids too; columns
+    of other names are not looked at; an empty table gives an empty table.
     """
     text, w = F.col("text"), F.col("w")
     counted = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", words(text).alias("w"))

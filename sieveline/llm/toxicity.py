@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -78,7 +79,10 @@ class Lexicon:
 
     @staticmethod
     def features(automaton, text: str | None) -> tuple[float, float, float]:
-        """Greatest weight, log of the sum of weights, and the sum per 100 words; of all hits outside exception phrases."""
+        """Greatest weight, log of the sum of weights, and the sum per 10 words; of all hits outside exception phrases.
+
+        Of terms that start at one place the greatest weight counts.
+        """
         folded = fold(text)
         hits: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
@@ -89,12 +93,20 @@ class Lexicon:
                     spared.append((start, end))
                 else:
                     hits[start] = max(weight, hits.get(start, 0.0))
-        for a, b in spared:
-            for start in [s for s in hits if a <= s < b]:
-                del hits[start]
+        if spared:
+            free, reach = {}, -1
+            phrases = iter([*sorted(spared), (len(folded), len(folded))])
+            a, b = next(phrases)
+            for start in sorted(hits):
+                while a <= start:
+                    reach = max(reach, b)
+                    a, b = next(phrases)
+                if start >= reach:
+                    free[start] = hits[start]
+            hits = free
         total = sum(hits.values())
         words = folded.count(" ") - 1
-        return max(hits.values(), default=0.0), float(np.log1p(total)), 100.0 * total / max(1, words) / 10.0
+        return max(hits.values(), default=0.0), float(np.log1p(total)), 10.0 * total / max(1, words)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         z = x @ np.array(self.curve[1:]) + self.curve[0]
@@ -134,10 +146,11 @@ def choose(counts: dict[str, tuple[int, int]], n1: int, n0: int, least_docs: int
     more than it does, and stays only for what the others leave.
     """
     chosen: dict[str, float] = {}
+    under: dict[str, set[str]] = defaultdict(set)  # the chosen terms below each beginning
     for t in sorted(counts, key=lambda t: (-len(t), t)):
         toxic, clean = counts[t]
         weight = _log_odds(toxic, clean, n1, n0)
-        own = [c for c in chosen if c.startswith(t)]
+        own = sorted(c for c in under[t] if c in chosen)
         top = [c for c in own if not any(c != o and c.startswith(o) for o in own)]
         if 0 < len(top) <= 2 and sum(counts[c][0] for c in top) >= 0.9 * toxic:
             continue
@@ -147,16 +160,20 @@ def choose(counts: dict[str, tuple[int, int]], n1: int, n0: int, least_docs: int
                 toxic, clean = toxic - counts[c][0], clean - counts[c][1]
         if toxic >= least_docs and _log_odds(toxic, max(0, clean), n1, n0) >= least_weight:
             if not longer:
-                chosen = {c: w for c, w in chosen.items() if not c.startswith(t)}
+                for c in own:
+                    del chosen[c]
             chosen[t] = weight
+            for n in BEGINNINGS:
+                if n + 1 < len(t):
+                    under[t[: n + 1]].add(t)
     return chosen
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 6000, max_terms: int = 4000, least_docs: int = 5, least_weight: float = 3.0, least_places: int = 5, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 6000, least_docs: int = 5, least_weight: float = 3.0, least_places: int = 5, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from labelled rows: ``docs`` (doc_id, text), ``labels`` (doc_id, toxic).
 
     At most ``per_class`` labelled rows of each class are used, those with the least hash of doc_id: this bounds
-    the work and what is broadcast, whatever the size of the corpus.  A term is a word or the beginning of one
+    the work, the terms and what is broadcast, whatever the size of the corpus.  A term is a word or the beginning of one
     that at least ``least_docs`` toxic rows of the sample hold, in at least ``least_places`` different
     neighbourhoods, with log-odds of ``least_weight`` or more.  Of a row with several labels the greatest counts;
     labels or doc_ids that are null are left out.  Without toxic rows the lexicon is empty and every score low.
@@ -182,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 6000, max_terms:
     n1, n0 = (sizes["toxic"], sizes["clean"]) if sizes else (0, 0)
     weight = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
     best = sums.filter((F.col("term") != "") & (F.col("toxic") >= least_docs) & (F.bit_count("places") >= least_places) & (weight >= least_weight))
-    found = {r["term"]: (r["toxic"], r["clean"]) for r in best.orderBy(weight.desc(), "term").limit(max_terms).collect()}
+    found = {r["term"]: (r["toxic"], r["clean"]) for r in best.collect()}
     terms = choose(found, n1, n0, least_docs, least_weight)
     draft = Lexicon(terms, exceptions, (0.0, 0.0, 0.0, 0.0))
 
@@ -199,7 +216,11 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 6000, max_terms:
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with toxicity (0 to 1).  Null and empty texts have no hits.  A column of that name is replaced."""
+    """``docs`` with toxicity (0 to 1), each row by its whole text alone.
+
+    Null and empty texts have no hits; repeated rows and null doc_ids are rows like any; a column named toxicity is
+    replaced and all others are kept; an empty table gives an empty table.
+    """
     held = [c for c in docs.columns if c != "toxicity"]
 
     def rows(batches):

@@ -39,6 +39,44 @@ def clustered(n, seed):
     return out
 
 
+def fingerprint_by_hand(text, size=3):
+    """Bit by bit, from the definition."""
+    import xxhash
+
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    own, word = [], ""
+    for c in low + " ":
+        if c in " \t\n\x0b\x0c\r":
+            own, word = own + [word] * bool(word), ""
+        else:
+            word += c
+    runs = [" ".join(own[i : i + size]) for i in range(len(own) - size + 1)] if len(own) >= size else [" ".join(own)] * bool(own)
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_match_the_definition(spark):
+    dice = random.Random(6)
+    texts = [None, "", " \t", "One", "a B", "a b c", "a b c a b c", "É é\x1cx Ünï", "x " * 5000] + [" ".join(dice.choices(["Aa", "b", "cé", "d\t", "ee\n"], k=dice.randrange(60))) for _ in range(60)]
+    got = simhash.fingerprints(spark.createDataFrame(list(enumerate(texts)), DOCS)).select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("x")).collect()
+    assert {r["doc_id"]: r["x"] for r in got} == {i: f"{fingerprint_by_hand(t):016x}" for i, t in enumerate(texts)}
+
+
+def test_op1_matches_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
+    fps = [fingerprint_by_hand(t) for _, t in rows]
+    hand = classes_by_hand(fps, 3)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.op1_simhash_dedup(spark, folder).collect()}
+    assert got == {d: (f"{f:016x}", rows[h][0]) for (d, _), f, h in zip(rows, fps, hand, strict=True)}
+
+
+def test_of_rows_that_repeat_an_id_the_least_text_stays(spark):
+    rows = [(1, "b b b"), (1, "a a a"), (1, "a a a"), (2, "c c c"), (None, "c c c")]
+    frame = spark.createDataFrame(rows, DOCS).withColumn("n", F.lit(1))
+    assert sorted(map(str, (tuple(r) for r in simhash.one_of_each(frame).collect()))) == sorted(map(str, [(1, "a a a", 1), (2, "c c c", 1), (None, "c c c", 1)]))
+
+
 def test_gray_rank_steps_through_the_code():
     codes = np.arange(64, dtype=np.uint64)
     codes = codes ^ (codes >> np.uint64(1))
@@ -155,6 +193,17 @@ def test_insertions_and_deletions_are_reversible(spark):
     assert digests(again.deduplicate(frame)) == lines_by_hand(rows)
 
 
+def test_documents_that_are_in_already_count_once(spark):
+    rows = made(20, 3)
+    frame = spark.createDataFrame(rows, DOCS)
+    state = lambda x: sorted(map(tuple, x.refs.select("k1", "k2", "n", "first").collect()))
+    once = linededup.LineIndex.create(spark, 8).insert(frame)
+    assert state(once.insert(frame.filter("doc_id < 9"))) == state(once)
+    assert state(linededup.LineIndex.create(spark, 8).insert(frame.unionByName(frame))) == state(once)
+    more = once.insert(spark.createDataFrame([(3, "the own line of 4\n" + "a line " * 50_000)], DOCS))
+    assert [(r["n"], r["first"]) for r in more.refs.join(once.refs, ["k1", "k2"], "left_anti").collect()] == [(2, 3)]
+
+
 def lines_of_one_mark():
     """Two lines that a filter of 16 buckets cannot tell apart."""
     held = {}

@@ -48,6 +48,42 @@ def test_quality_counts_match_brute_force(spark):
     assert not any(r["kept"] for r in got if r["base_failed"])
 
 
+def test_quality_of_odd_rows(spark, monkeypatch):
+    long = " ".join(words(30_000))
+    rows = [(1, "a b c d a b c"), (1, "a b c d a b c"), (None, "x y z x y z x"), (2, long), (3, None), (4, ""), (5, "p q r s p q r\n" * 3)]
+    frame = spark.createDataFrame(rows, DOCS).withColumn("row", F.lit("clash")).withColumn("trusted", F.lit("clash")).withColumn("w", F.lit(1))
+    target = spark.createDataFrame([(1,), (None,), (77,)], "doc_id long")
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    want = Counter((d, *brute_quality(t)) for d, t in rows)
+    ratios = []
+    # a shuffle for the trusted ids, runs sorted as text, runs whose hashes clash: nothing changes
+    for ids, position in ((100, 20), (0, 20), (100, 2), (100, 60)):
+        monkeypatch.setattr(quality, "_POSITION", position)
+        got = quality.rate(frame, quality.fit(frame, target, ids)).collect()
+        assert Counter((r["doc_id"], *(r[c] for c in columns)) for r in got) == want
+        ratios.append(sorted((str(r["doc_id"]), r["n_words"], str(r["ratio"])) for r in got))
+    assert ratios[0] == ratios[1] == ratios[2] == ratios[3]
+
+
+def test_quality_ratio_matches_brute_force(spark):
+    texts = [" ".join(words(n, n)) for n in (5, 60, 200)] + [None, "lone"]
+    frame = docs(spark, texts)
+    grams = lambda t: [g for i, w in enumerate((t or "").split()) for g in [(w[-3:],), *([(w[-3:], (t.split())[i + 1][-3:])] if i + 1 < len(t.split()) else [])]]
+    every = {g for t in texts for g in grams(t)}
+    one, two = [g for g in every if len(g) == 1], [g for g in every if len(g) == 2]
+    at = {}
+    for group, schema in ((one, "a string"), (two, "a string, b string")):
+        own = spark.createDataFrame(group, schema)
+        for r in own.select("*", F.pmod(F.xxhash64(*own.columns), F.lit(quality.BUCKETS)).alias("n")).collect():
+            at[tuple(r)[:-1]] = r["n"]
+    raw, trusted = Counter(at[g] for t in texts for g in grams(t)), Counter(at[g] for g in grams(texts[1]))
+    n, m = sum(raw.values()) + quality.BUCKETS, sum(trusted.values()) + quality.BUCKETS
+    logs = {b: np.log((trusted[b] + 1) / m) - np.log((raw[b] + 1) / n) for b in raw}
+    got = quality.rate(frame, quality.fit(frame, spark.createDataFrame([(1,)], "doc_id long"))).orderBy("doc_id").collect()
+    for r, t in zip(got, texts, strict=True):
+        assert (r["ratio"] is None) if not t else abs(r["ratio"] - np.mean([logs[at[g]] for g in grams(t)])) < 1e-5
+
+
 def test_quality_ratio_tells_junk(spark):
     texts = [" ".join(f"{w}ing" for w in words(3000, i)) for i in range(8)] + [" ".join(f"{w}###" for w in words(3000, i)) for i in range(8)]
     frame = docs(spark, texts)
@@ -74,6 +110,66 @@ def test_language_model_on_held_out_rows(spark):
     assert language.identify(docs(spark, ["text"]), none).first()["lang_pred"] == "und"
 
 
+def test_language_of_odd_rows(spark):
+    rows = [(i, t, k) for i in range(40) for t, k in ((f"the thing and {i} thorn", "en"), (f"der schein und {i} kette", "de"))]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    probes = [(1, "der schein"), (1, "der schein"), (None, "the thorn and"), (2, "½ ² Ⅷ ① 12 _"), (3, "the thing and thorn " * 100_000), (4, None)]
+    frame = spark.createDataFrame(probes, DOCS).withColumn("score", F.lit("clash")).withColumn("lang", F.lit("fr"))
+    got = Counter((r["doc_id"], r["lang_pred"]) for r in language.identify(frame, model).collect())
+    assert got == {(1, "de"): 2, (None, "en"): 1, (2, "und"): 1, (3, "en"): 1, (4, "und"): 1}
+    assert language.identify(frame.limit(0), model).count() == 0
+
+
+def test_language_op_on_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    true = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    got = [r for r in language.op4_language(spark, folder).collect() if r["held_out"] and r["lang_pred"] != "und"]
+    assert len(got) > 150 and sum(true[r["doc_id"]] == r["lang_pred"] for r in got) >= 0.98 * len(got)
+
+
+def test_toxicity_op_on_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    true = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic").collect()}
+    got = [r for r in toxicity.op10_toxicity(spark, folder).collect() if r["held_out"] and r["doc_id"] in true]
+    toxic = [r for r in got if true[r["doc_id"]]]
+    # about one labelled row in ten holds no word that other toxic rows have
+    assert len(toxic) > 30 and sum(r["predicted"] for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r["predicted"] for r in got if not true[r["doc_id"]]) <= 0.01 * len(got)
+
+
+def hits_by_hand(lexicon, text):
+    """The features of a text by looking for every term at every place of the folded text."""
+    folded, hits = toxicity.fold(text), {}
+    spared = [range(i, i + len(p) + 1) for p in lexicon.exceptions for i in range(len(folded)) if folded.startswith(f" {p} ", i)]
+    for term, weight in lexicon.terms.items():
+        for i in range(len(folded)):
+            if folded.startswith(term, i) and not any(i in s for s in spared):
+                hits[i] = max(weight, hits.get(i, 0.0))
+    return max(hits.values(), default=0.0), np.log1p(sum(hits.values())), 10 * sum(hits.values()) / max(1, folded.count(" ") - 1)
+
+
+def test_toxicity_hits_match_brute_force():
+    dice = random.Random(8)
+    pool = ["zug", "zugb", "bug", "flim", "flam", "fish", "1d10t", "a"]
+    lexicon = toxicity.Lexicon({" zug ": 2.0, " zug": 1.0, " bug ": 3.5, " flim": 0.5, " idiot ": 4.0}, ("zug fish", "bug zug bug", "fish flim"), (0.0, 1.0, 1.0, 1.0))
+    automaton = lexicon.automaton()
+    for _ in range(500):
+        text = " ".join(dice.choices(pool, k=dice.randrange(14)))
+        assert np.allclose(lexicon.features(automaton, text), hits_by_hand(lexicon, text)), text
+    assert lexicon.features(automaton, "zug fish " * 200_000)[0] == 0.0  # in time about linear
+
+
+def test_toxicity_of_odd_rows(spark):
+    lexicon = toxicity.Lexicon({" zug ": 5.0}, (), (-4.0, 1.0, 0.0, 0.0))
+    frame = spark.createDataFrame([(1, "zug"), (1, "zug"), (None, "zug"), (2, "other words " * 200_000 + "zug"), (3, "")], DOCS).withColumn("toxicity", F.lit("clash")).withColumn("score", F.lit("x"))
+    got = toxicity.score(frame, lexicon)
+    assert got.columns == ["doc_id", "text", "score", "toxicity"]
+    assert Counter((r["doc_id"], r["toxicity"] > 0.7) for r in got.collect()) == {(1, True): 2, (None, True): 1, (2, True): 1, (3, False): 1}
+    assert toxicity.score(frame.limit(0), lexicon).count() == 0
+    labels = spark.createDataFrame([(1, 1), (1, 0), (9, 1)], "doc_id long, toxic int")
+    assert toxicity.learn(frame.select("doc_id", "text"), labels, least_docs=2, least_weight=0.1, least_places=1).terms
+
+
 def test_language_features_do_not_depend_on_blocks():
     text = "Ein längerer Text über nichts. " * 40
     assert np.allclose(language.features(text, 1 << 10), language.features(text, 1 << 10, step=97))
@@ -154,3 +250,15 @@ def test_packed_pieces_are_whole(spark):
         ids = [x for r in sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"]) for x in r["ids"]]
         assert ids == [*encode(t or "").tolist(), 2]
     assert packing.pack(docs(spark, texts).limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, "one two"), (None, "one two"), (1, "x " * 200_000), (1, None)], DOCS)
+    got = packing.pack(odd).collect()
+    assert sorted((str(r["doc_id"]), r["doc_tokens"]) for r in got if r["start"] == 0) == sorted([("None", 3), ("None", 3), ("1", 200_001), ("1", 1)])
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got)
+
+
+def test_packing_op_has_little_padding(spark):
+    pytest.importorskip("public_tokenizers")
+    got = packing.op8_packing(spark, "/root/testdata/sf0.01").groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    sizes = [r["n"] for r in got]
+    padded = [n if n & (n - 1) == 0 else 4096 for n in sizes]
+    assert max(sizes) <= 4096 and sum(sizes) >= 0.99 * sum(padded)
