@@ -37,8 +37,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in sequences of 4096: a row per piece."""
-    return packing.pack(docs)
+    """The documents' tokens in sequences of 4096: a row per piece, with its ids."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: Tokenisation, fingerprints and the learnt lexicon are beyond SQL; tests hold run() against brute force.
+#: Tokenisation, fingerprints and the learnt lexicon are beyond SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
