@@ -14,6 +14,14 @@ ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SLICE = 256
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or it with underscores in front, so that no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def columns_of(schema: str) -> StructType:
     return _parse_datatype_string(schema)
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.arrow import ASCII_LOWER, columns_of, map_rows
+from sieveline.llm.arrow import ASCII_LOWER, columns_of, map_rows, unused
 from sieveline.llm.cuckoo import CuckooFilter
 from sieveline.skew import join_unique
 from sieveline.storage import written
@@ -182,9 +182,10 @@ class LineIndex:
 
     def deduplicate(self, docs: DataFrame) -> DataFrame:
         """``docs`` with text replaced by the lines that stay, and n_lines, n_dropped; all other columns as they are."""
-        held = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "drop")]
-        drops = self.dropped().withColumnRenamed("doc_id", "drop_id")
-        joined = docs.select(*held).join(drops.hint("shuffle_hash"), F.col("doc_id") == F.col("drop_id"), "left").drop("drop_id")
+        held = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+        gone_id, lost_keys = unused("gone_id", held), unused("lost_keys", held)
+        drops = self.dropped().withColumnsRenamed({"doc_id": gone_id, "drop": lost_keys})
+        joined = docs.select(*held).join(drops.hint("shuffle_hash"), F.col("doc_id") == F.col(gone_id), "left").drop(gone_id)
         schema = columns_of("n_lines long, n_dropped long")
         for f in reversed(docs.select(*held).schema.fields):
             schema.fields.insert(0, f)
@@ -195,7 +196,7 @@ class LineIndex:
                 for at in range(0, whole.num_rows, 256):
                     b = whole.slice(at, 256)
                     texts, lines, gone = [], [], []
-                    for text, drop in zip(b.column("text").to_pylist(), b.column("drop").to_pylist(), strict=True):
+                    for text, drop in zip(b.column("text").to_pylist(), b.column(lost_keys).to_pylist(), strict=True):
                         own = (text or "").split("\n")
                         kept = own
                         if drop:
@@ -224,7 +225,7 @@ def deduplicate_lines(docs: DataFrame) -> DataFrame:
     the smallest doc_id that holds it.  Null texts count as empty: one empty line.  Rows with a null doc_id are no
     documents: they lend no keys and lose no lines.  Repeated rows of a doc_id are one document: a line that only
     they hold stays in all of them.  Whole texts count, however long; an empty table gives an empty table.  Other columns
-    are kept; columns named n_lines, n_dropped or drop are replaced.
+    are kept; columns named n_lines or n_dropped are replaced.
     """
     index = LineIndex.create(docs.sparkSession, shards_for(docs)).insert(docs)
     return index.deduplicate(docs)

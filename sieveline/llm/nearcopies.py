@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.graph import components
-from sieveline.llm.arrow import ASCII_LOWER, map_rows
+from sieveline.llm.arrow import ASCII_LOWER, map_rows, unused
 from sieveline.llm.simhash import majority, near_links, only_one, shingle_hashes
 from sieveline.skew import join_unique
 from sieveline.storage import written
@@ -269,8 +269,9 @@ def one_of_each(docs: DataFrame, size: int = SIZE, least: float = SIMILARITY) ->
     """
     classes = written(near_copies(docs, size, least), "near")
     first = classes.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")).filter("doc_id = component_id")
-    keep = first.select(F.col("doc_id").alias("keep_id"))
-    kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col("keep_id"), "left").filter("keep_id is not null or doc_id is null").select(*docs.columns)
+    kept_id = unused("kept_id", docs.columns)
+    keep = first.select(F.col("doc_id").alias(kept_id))
+    kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col(kept_id), "left").filter(F.col(kept_id).isNotNull() | F.col("doc_id").isNull()).select(*docs.columns)
     if first.filter("n > 1").isEmpty():
         return kept
     return only_one(kept.filter("doc_id is not null")).unionByName(kept.filter("doc_id is null"))

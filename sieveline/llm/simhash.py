@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.graph import components
-from sieveline.llm.arrow import ASCII_LOWER, map_rows
+from sieveline.llm.arrow import ASCII_LOWER, map_rows, unused
 from sieveline.skew import join_unique
 from sieveline.storage import written
 
@@ -263,8 +263,9 @@ def one_of_each(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
     """
     classes = written(near_duplicates(docs, size, radius).select("doc_id", "component_id"), "near")
     first = classes.filter("doc_id = component_id").groupBy("doc_id").count()
-    keep = first.select(F.col("doc_id").alias("keep_id"))
-    kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col("keep_id"), "left").filter("keep_id is not null or doc_id is null").select(*docs.columns)
+    kept_id = unused("kept_id", docs.columns)
+    keep = first.select(F.col("doc_id").alias(kept_id))
+    kept = docs.join(keep.hint("shuffle_hash"), F.col("doc_id") == F.col(kept_id), "left").filter(F.col(kept_id).isNotNull() | F.col("doc_id").isNull()).select(*docs.columns)
     if first.filter("count > 1").isEmpty():
         return kept
     return only_one(kept.filter("doc_id is not null")).unionByName(kept.filter("doc_id is null"))

@@ -171,7 +171,7 @@ def test_lines_match_brute_force(spark):
     rows = [*made(40, 1), (100, None), (101, ""), (102, "a shared line of text\r\na shared line of text"), (None, "a shared line of text")]
     frame = spark.createDataFrame(rows, DOCS).withColumn("drop", F.lit(1)).withColumn("other", F.lit("x"))
     got = linededup.deduplicate_lines(frame)
-    assert got.columns == ["doc_id", "text", "other", "n_lines", "n_dropped"]
+    assert got.columns == ["doc_id", "text", "drop", "other", "n_lines", "n_dropped"]
     assert digests(got) == lines_by_hand(rows)
     assert linededup.deduplicate_lines(frame.limit(0)).count() == 0
 
