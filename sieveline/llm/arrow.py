@@ -26,6 +26,19 @@ def columns_of(schema: str) -> StructType:
     return _parse_datatype_string(schema)
 
 
+#: Bytes of an Arrow batch, where the session does not say: JVM and Python hold a batch or two each per core.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded in bytes, so that long texts do not add up."""
+    spark = df.sparkSession
+    if spark.conf.get(_BATCH_SETTING, str(BATCH_BYTES + 1)) == str(BATCH_BYTES + 1):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """``fn`` turns lists of column values into lists of column values, a slice of each Arrow batch at a time."""
     struct = columns_of(schema)
@@ -41,4 +54,4 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
         for out in fn(slices()):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, struct)
+    return map_arrow(df, run, struct)

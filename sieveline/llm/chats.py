@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.arrow import map_rows
+from sieveline.llm.arrow import map_arrow, map_rows
 from sieveline.storage import written
 
 #: How an assistant's text holds a call: a JSON object with id, name and arguments.
@@ -259,7 +259,7 @@ def _validated(calls: DataFrame, tools: DataFrame, schemas: dict[str, dict]) ->
                 errors.append(error)
             yield pa.RecordBatch.from_arrays([pa.array(errors, pa.string()) if c == "error" else b.column(c) for c in columns], names=columns)
 
-    return joined.mapInArrow(check, calls.schema)
+    return map_arrow(joined, check, calls.schema)
 
 
 def format_chats(turns: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:

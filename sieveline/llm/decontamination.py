@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.arrow import map_rows
+from sieveline.llm.arrow import map_arrow, map_rows
 from sieveline.llm.simhash import majority, shingle_hashes
 from sieveline.storage import written
 
@@ -246,7 +246,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, at_once: int = ITEMS_AT
             for b in batches:
                 yield b.filter(pa.array([not index.value.matches(t.as_py()) for t in b.column("text")], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = map_arrow(docs, clean, docs.schema)
     return docs
 
 

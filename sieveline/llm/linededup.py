@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.arrow import ASCII_LOWER, columns_of, map_rows, unused
+from sieveline.llm.arrow import ASCII_LOWER, columns_of, map_arrow, map_rows, unused
 from sieveline.llm.cuckoo import CuckooFilter
 from sieveline.skew import join_unique
 from sieveline.storage import written
@@ -55,15 +55,24 @@ def _summed(k1, k2, n, first, last):
 _PARTIAL = "shard int, k1 long, k2 long, n long, first long, last long"
 
 
-def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum within a batch before the shuffle: a line that is everywhere leaves one row per batch."""
-    for b in batches:
-        shard, k1, k2, doc = (b.column(c).to_numpy() for c in ("shard", "k1", "k2", "doc_id"))
+def _partial(batches: Iterator[pa.RecordBatch], at_once: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Sum before the shuffle, so many rows at a time: a line that is everywhere leaves one row for each of these."""
+    held, count = [], 0
+
+    def summed() -> pa.RecordBatch:
+        shard, k1, k2, doc = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("shard", "k1", "k2", "doc_id"))
         out = _summed(k1, k2, np.ones(len(k1), np.int64), doc, doc)
-        mask = np.int64(0) if not len(shard) else None
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(0, np.int32) if mask is not None else _shards(out[0], k1, shard)), *map(pa.array, out)], names=["shard", "k1", "k2", "n", "first", "last"]
-        )
+        own = _shards(out[0], k1, shard) if len(shard) else np.zeros(0, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(own), *map(pa.array, out)], names=["shard", "k1", "k2", "n", "first", "last"])
+
+    for b in batches:
+        held.append(b)
+        count += b.num_rows
+        if count >= at_once:
+            yield summed()
+            held, count = [], 0
+    if count:
+        yield summed()
 
 
 def _shards(keys: np.ndarray, k1: np.ndarray, shard: np.ndarray) -> np.ndarray:
@@ -149,7 +158,7 @@ class LineIndex:
         if not self.empty:
             new = new.join(self.postings.select(*_KEY, "doc_id"), [*_KEY, "doc_id"], "left_anti").select("shard", *_KEY, "doc_id")
         new = written(new, "postings")
-        partial = new.mapInArrow(_partial, _PARTIAL)
+        partial = map_arrow(new, _partial, _PARTIAL)
         out = written(partial.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_insert_shard, _SHARD_OUT), "shards")
         filters = out.filter("filter is not null").select("shard", "filter")
         fresh = out.filter("not seen").select(*_KEY, "n", "first")
@@ -209,7 +218,7 @@ class LineIndex:
                     made = {"text": pa.array(texts, pa.string()), "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(gone, pa.int64())}
                     yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in (*held, "n_lines", "n_dropped")], names=[*held, "n_lines", "n_dropped"])
 
-        return joined.mapInArrow(rows, schema)
+        return map_arrow(joined, rows, schema)
 
 
 def shards_for(docs: DataFrame, per_shard: int = 1 << 11) -> int:

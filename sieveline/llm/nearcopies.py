@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.graph import components
-from sieveline.llm.arrow import ASCII_LOWER, map_rows, unused
+from sieveline.llm.arrow import ASCII_LOWER, map_arrow, map_rows, unused
 from sieveline.llm.simhash import majority, near_links, only_one, shingle_hashes
 from sieveline.skew import join_unique
 from sieveline.storage import written
@@ -206,7 +206,7 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int = SIZE, least: float
                     held[int(block != i)].append((node, root, _shingles(hashes), band_keys(hashes)[:band]))
         yield done()
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return map_arrow(dealt, run, "u long, v long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, least: float = SIMILARITY) -> DataFrame:

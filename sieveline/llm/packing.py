@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.arrow import map_rows
+from sieveline.llm.arrow import map_arrow, map_rows
 from sieveline.storage import written
 
 TOKENIZER = "word_bpe_49k.json"
@@ -195,7 +195,7 @@ def pack(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None
             yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
 
     ranks = ranked(parts, max(16, total // 50_000))
-    return ranks.mapInArrow(place, parts.schema.add("sequence_id", "long").add("offset", "long"))
+    return map_arrow(ranks, place, parts.schema.add("sequence_id", "long").add("offset", "long"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

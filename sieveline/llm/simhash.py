@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.graph import components
-from sieveline.llm.arrow import ASCII_LOWER, map_rows, unused
+from sieveline.llm.arrow import ASCII_LOWER, map_arrow, map_rows, unused
 from sieveline.skew import join_unique
 from sieveline.storage import written
 
@@ -229,7 +229,7 @@ def near_links(fps: DataFrame, radius: int = 3, split_rows: int = 2048, rows_at_
     fingerprint gets at most one edge per group.
     """
     dealt = _groups(fps, radius, split_rows).repartition("g").sortWithinPartitions("g")
-    return dealt.mapInArrow(_local_links(radius, rows_at_once), "u long, v long")
+    return map_arrow(dealt, _local_links(radius, rows_at_once), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.arrow import map_rows
+from sieveline.llm.arrow import map_arrow, map_rows
 from sieveline.storage import written
 
 THRESHOLD = 0.7
@@ -232,7 +232,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in held), pa.array(lexicon.score(x))], names=[*held, "toxicity"])
 
     schema = docs.select(*held).schema.add("toxicity", "double")
-    return docs.select(*held).mapInArrow(rows, schema)
+    return map_arrow(docs.select(*held), rows, schema)
 
 
 def fold_of(doc_id):
