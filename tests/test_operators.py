@@ -141,8 +141,18 @@ def test_semantic_chain_and_missing_vectors(spark):
     assert [r[0] for r in df.filter("scores is not null").orderBy("row_idx").select(meta_text("duplicate_of")).collect()] == [None, "s0", "s0", None, None]
 
 
-def test_components_take_the_least_node(spark):
+@pytest.mark.parametrize("at_once", [1 << 17, 8])
+def test_components_take_the_least_node(spark, at_once):
     edges = [(1, 2), (2, 3), (5, 4), (9, 9), (3, 7), (None, 1)] + [(100 + i, 101 + i) for i in range(40)]
-    found = {tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    found = {tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long").repartition(3), at_once).collect()}
     assert found == {(1, 1), (2, 1), (3, 1), (7, 1), (4, 4), (5, 4), (9, 9)} | {(n, 100) for n in range(100, 141)}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_hub_is_split_from_its_edges(spark):
+    from sieveline.skew import join_unique
+
+    rows = spark.createDataFrame([(1, i) for i in range(300)] + [(k, k) for k in range(2, 60)] + [(None, 7)], "u long, v long")
+    table = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    got = sorted(tuple(r) for r in join_unique(rows, table, ["u"], "n", rows.count(), parts=100).collect())
+    assert got == sorted([(1, i, 0) for i in range(300)] + [(k, k, k) for k in range(2, 60)])
