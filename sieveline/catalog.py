@@ -24,7 +24,7 @@ from sieveline.plans.prepare import distinct_images
 from sieveline.registry import build_op
 from sieveline.schema import as_samples, meta_text
 from sieveline.sources.results import delta_table
-from sieveline.storage import written
+from sieveline.storage import balanced, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEED = O.SEED
@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as samples; a label of quality 0 makes a row noise of type lowquality_text."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    docs, labels = balanced(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels").select("doc_id", "quality")
     bad = F.coalesce(F.col("quality") == 0, F.lit(False))
     base = F.create_map(F.lit("is_noise"), F.when(bad, F.lit("true")).otherwise(F.lit("false")))
     meta = F.when(bad, F.map_concat(base, F.create_map(F.lit("noise_type"), F.lit('"lowquality_text"')))).otherwise(base)
@@ -47,7 +47,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = balanced(table(spark, sf_dir, "documents"))
     image = F.concat(F.lit("img/"), F.col("doc_id").cast("string"), F.lit(".jpg"))
     return as_samples(docs.select(F.col("doc_id").alias("row_idx"), F.col("doc_id").cast("string").alias("id"), image.alias("image_path"), "text"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalar import op_of, prf, rate
+from sieveline.plans.order import running_sums
 from sieveline.schema import meta_text, meta_true
 
 
@@ -76,11 +77,8 @@ def sweep(rows: DataFrame, steps: int = 20, direction: str = "low") -> DataFrame
     scores under the threshold are called noise; high: those over it.  Scores are counted by value and summed up
     once; a threshold then looks up the sums, so rows are never compared with every threshold.
     """
-    from pyspark.sql import Window
-
     counts = rows.groupBy("v").agg(F.count("*").alias("n"), F.count_if("y").alias("p"))
-    before = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    sums = counts.select("v", "n", "p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("nb"), F.coalesce(F.sum("p").over(before), F.lit(0)).alias("pb"))
+    sums = running_sums(counts, [], "v", {"n": "nb", "p": "pb"})
     total = counts.agg(F.sum("n").alias("tn"), F.sum("p").alias("tp_all"), F.max("v").alias("hi"))
     at = F.explode(F.array(*(F.least(F.col("tn") - 1, F.floor(F.lit(i / steps) * F.col("tn"))) for i in range(steps + 1)))).alias("at")
     wanted = total.filter("tn > 0").select("tn", "tp_all", at).distinct()

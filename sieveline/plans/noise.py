@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalar import or_text
+from sieveline.plans.order import first_rows, order_key, renumbered
 from sieveline.schema import json_text, meta_text, with_entry
 from sieveline.storage import written
 
@@ -37,22 +38,13 @@ def plan_counts(n_clean: int, scale: float = 1.0, counts: dict[str, int] | None
     return counts
 
 
-def order_key(seed: int, key: str = "row_idx") -> Column:
-    """A number that shuffles rows the same way for the same seed, whatever their partitions; ties are for the caller.
-
-    Plain integer arithmetic, so that any SQL engine can follow it.
-    """
-    return F.pmod(F.pmod(F.col(key), F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed), F.lit(4294967291))
-
-
 def dealt_sources(clean: DataFrame, counts: dict[str, int], seed: int) -> DataFrame:
     """The rows picked as sources, with _class and _place within the class: disjoint runs of one shuffled order.
 
-    Only as many rows as are needed are ranked.
+    Only as many rows as are needed are ranked, by ranges of the order.
     """
-    total = sum(counts.values())
-    few = clean.select(order_key(seed).alias("_key"), F.col("row_idx").alias("_row")).orderBy("_key", "_row").limit(total)
-    ranked = few.withColumn("_rank", F.row_number().over(Window.orderBy("_key", "_row")) - 1)
+    keyed = clean.select(order_key(seed).alias("_order"), "row_idx", F.col("row_idx").alias("_row"), F.lit(0).alias("_part"))
+    ranked = renumbered(first_rows(keyed, sum(counts.values()), "_order", "row_idx")).withColumnRenamed("row_idx", "_rank")
     low, kind, place = 0, None, None
     for name, n in counts.items():
         hit = F.col("_rank") < low + n
@@ -134,16 +126,6 @@ def inject(clean: DataFrame, counts: dict[str, int], seed: int = 42, images=None
     return written(renumbered(mixed.withColumn("_order", order)), "mixed")
 
 
-def renumbered(rows: DataFrame, width: int = 1 << 24) -> DataFrame:
-    """Rows in the order of _order, row_idx, _part with a new row_idx from 0: ranges of _order are counted, then ranked."""
-    bucketed = rows.withColumn("_bucket", F.floor(F.col("_order") / width))
-    counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("n"))
-    before = counts.select("_bucket", F.coalesce(F.sum("n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy("_order", "row_idx", "_part")) - 1
-    ranked = bucketed.withColumn("_within", within).join(F.broadcast(before), "_bucket")
-    return ranked.withColumn("row_idx", F.col("_before") + F.col("_within")).drop("_order", "_part", "_bucket", "_within", "_before")
-
-
 def composition(samples: DataFrame) -> DataFrame:
     """(noise_type, n): rows without a type are clean."""
     return samples.groupBy(or_text(meta_text("noise_type"), "clean").alias("noise_type")).agg(F.count("*").alias("n"))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.plans.noise import order_key, renumbered
+from sieveline.plans.order import first_rows, order_key, renumbered
 from sieveline.plans.sft import extract_text
 from sieveline.schema import as_samples
 
@@ -23,7 +23,7 @@ def prepared(raw: DataFrame, n: int, seed: int = 42, source: str = "raw", existi
         there = F.col("_there").isNotNull()
     status = F.when(F.coalesce(F.col("image"), F.lit("")) == "", F.lit("no_image")).when(~there, F.lit("missing_file")).when(F.col("text") == "", F.lit("no_text")).otherwise(F.lit("ok"))
     rows = rows.withColumn("status", status).withColumn("_order", order_key(seed))
-    good = rows.filter("status = 'ok'").orderBy("_order", "row_idx").limit(n)
+    good = first_rows(rows.filter("status = 'ok'"), n, "_order", "row_idx")
     meta = F.create_map(F.lit("source"), F.to_json(F.array(F.lit(source))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(source)))) - 2), F.lit("is_noise"), F.lit("false"))
     made = good.select("row_idx", F.col("id").cast("string").alias("id"), F.col("image").alias("image_path"), "text", "conversations", meta.alias("meta"), "_order", F.lit(0).alias("_part"))
     return as_samples(renumbered(made)), rows.groupBy("status").agg(F.count("*").alias("n"))
@@ -34,35 +34,44 @@ def distinct_images(samples: DataFrame) -> DataFrame:
     return samples.filter("coalesce(image_path, '') <> ''").groupBy("image_path").agg(F.min("row_idx").alias("row_idx"))
 
 
-#: What synthetic images show.
-COLORS = {"red": (220, 50, 47), "green": (60, 160, 75), "blue": (50, 90, 220), "yellow": (235, 200, 60), "purple": (140, 70, 180), "orange": (240, 140, 40)}
-SHAPES = ("circle", "square", "triangle")
-BACKGROUNDS = {"white": (250, 250, 250), "gray": (180, 180, 180), "black": (15, 15, 15)}
+#: What synthetic images show: regular polygons and stars by their number of corners, in hues a twelfth of a circle apart, on grounds from dark to light.
+CORNERS = {"triangle": (3, 1.0), "diamond": (4, 1.0), "pentagon": (5, 1.0), "hexagon": (6, 1.0), "five-pointed star": (5, 0.45), "eight-pointed star": (8, 0.6)}
+HUES = tuple(f"{30 * i}-degree" for i in range(12))
+GROUNDS = ("dark", "dim", "pale", "light")
 
 
-def drawing(shape: str, color: str, background: str, size: int, cx: float, cy: float, radius: float) -> np.ndarray:
-    """A shape on a ground with fine dark lines for detail."""
-    y, x = np.mgrid[0:size, 0:size]
-    if shape == "circle":
-        inside = (x - cx) ** 2 + (y - cy) ** 2 <= radius**2
-    elif shape == "square":
-        inside = (abs(x - cx) <= radius) & (abs(y - cy) <= radius)
-    else:
-        inside = (y <= cy + radius) & (y >= cy - radius) & (abs(x - cx) <= (y - (cy - radius)) / 2)
-    out = np.empty((size, size, 3), np.uint8)
-    out[:] = BACKGROUNDS[background]
-    out[inside] = COLORS[color]
-    out[:, ::7] = out[:, ::7] // 2
-    return out
+def hue_rgb(degrees: float, value: float = 0.9, chroma: float = 0.7) -> tuple[int, int, int]:
+    """The colour of a hue, from the usual hexagon of hues."""
+    import colorsys
+
+    return tuple(round(255 * c) for c in colorsys.hsv_to_rgb(degrees / 360, chroma, value))
+
+
+def drawing(shape: str, hue: str, ground: str, size: int, cx: float, cy: float, radius: float, turn: float = 0.0) -> np.ndarray:
+    """A shape on a shaded ground with a faint texture, so that no part of the picture is without detail."""
+    y, x = np.mgrid[0:size, 0:size].astype(float)
+    n, inner = CORNERS[shape]
+    angle = np.mod(np.arctan2(y - cy, x - cx) - turn, 2 * np.pi / n)
+    # between a corner at the radius and the next notch (of a star) or side's middle (of a polygon)
+    half, low = np.pi / n, inner * np.cos(np.pi / n) if inner == 1.0 else inner
+    a = np.minimum(angle, 2 * half - angle)
+    edge = radius * low * np.sin(half) / (np.sin(half - a) * low + np.sin(a))
+    inside = np.hypot(x - cx, y - cy) <= edge
+    level = 40 + 60 * GROUNDS.index(ground)
+    shade = level + 20 * (x + y) / (2 * size)
+    texture = 12 * np.sin(x * 1.9) * np.cos(y * 2.3)
+    out = np.repeat((shade + texture)[:, :, None], 3, axis=2)
+    out[inside] = np.array(hue_rgb(float(hue.split("-")[0]))) + texture[inside][:, None]
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 
 def synthetic(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:
     """``n`` samples of one coloured shape each, with captions; image files are made by :func:`synthetic_images`."""
     pick = lambda names, salt: F.get(F.array(*map(F.lit, names)), F.pmod(F.floor(order_key(seed, "id") / salt), F.lit(len(names))).cast("int"))
-    rows = spark.range(n).select("id", pick(list(COLORS), 1).alias("color"), pick(SHAPES, 11).alias("shape"), pick(list(BACKGROUNDS), 101).alias("ground"))
-    text = F.format_string("A %s %s on a %s background, drawn at place number %d.", "color", "shape", "ground", "id")
-    name = F.format_string("syn_%06d", F.col("id"))
-    turns = F.array(F.struct(F.lit("human").alias("from"), F.lit("What does the picture show?").alias("value")), F.struct(F.lit("gpt").alias("from"), text.alias("value")))
+    rows = spark.range(n).select("id", pick(HUES, 1).alias("color"), pick(list(CORNERS), 13).alias("shape"), pick(GROUNDS, 101).alias("ground"))
+    text = F.format_string("On %s ground there is a %s of %s hue, the one with number %d.", "ground", "shape", "color", "id")
+    name = F.format_string("shape_%07d", F.col("id"))
+    turns = F.array(F.struct(F.lit("human").alias("from"), F.lit("Describe this picture.").alias("value")), F.struct(F.lit("gpt").alias("from"), text.alias("value")))
     quoted = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('"'))
     meta = F.create_map(F.lit("shape"), quoted("shape"), F.lit("color"), quoted("color"), F.lit("ground"), quoted("ground"))
     return as_samples(rows.select(F.col("id").alias("row_idx"), name.alias("id"), F.concat(name, F.lit(".png")).alias("image_path"), text.alias("text"), turns.alias("conversations"), meta.alias("meta")))
@@ -80,9 +89,9 @@ def synthetic_images(samples: DataFrame, size: int = 256) -> DataFrame:
             rgb = []
             for i, m in zip(b["row_idx"], b["meta"], strict=True):
                 m = {k: json.loads(v) for k, v in dict(m).items()}
-                place = (int(i) * 2654435761) % 4294967291
-                cx, cy, r = size * (0.35 + place % 31 / 100), size * (0.35 + place // 31 % 31 / 100), size * (0.15 + place // 961 % 11 / 100)
-                rgb.append(drawing(m["shape"], m["color"], m["ground"], size, cx, cy, r).tobytes())
+                dice = np.random.default_rng(int(i))
+                cx, cy, r, turn = dice.uniform((0.3, 0.3, 0.15, 0.0), (0.7, 0.7, 0.3, 1.5))
+                rgb.append(drawing(m["shape"], m["color"], m["ground"], size, size * cx, size * cy, size * r, turn).tobytes())
             yield pd.DataFrame({"name": b["image_path"], "width": size, "height": size, "rgb": rgb})
 
     return samples.select("row_idx", "image_path", "meta").mapInPandas(draw, "name string, width int, height int, rgb binary")

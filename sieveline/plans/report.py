@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalar import or_text, rate
+from sieveline.plans.order import running_sums
 from sieveline.schema import meta_text
 
 QUANTILES = (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))
@@ -44,8 +45,7 @@ def _value_quantiles(rows: DataFrame, quantiles: dict[str, float], rule) -> Data
     Equal values are counted first and ranked as one, so that no key is a list in one task.
     """
     counts = rows.filter("value is not null").groupBy("key", "value").agg(F.count("*").alias("c"))
-    running = Window.partitionBy("key").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select("key", "value", "c", F.sum("c").over(running).alias("upto"))
+    ranked = running_sums(counts, ["key"], "value", {"c": "before"}).withColumn("upto", F.col("before") + F.col("c"))
     totals = counts.groupBy("key").agg(F.sum("c").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("avg"))
     made = [F.min(F.when(F.col("upto") > rule(p, F.col("n")), F.col("value"))).alias(name) for name, p in quantiles.items()]
     return ranked.join(totals, "key").groupBy("key", "n", "lo", "hi", "avg").agg(*made)

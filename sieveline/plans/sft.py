@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.scalar import or_text
 from sieveline.functions.text import stripped
-from sieveline.plans.noise import composition, order_key
+from sieveline.plans.noise import composition
+from sieveline.plans.order import first_rows, order_key
 from sieveline.schema import meta_text
 from sieveline.storage import written
 
@@ -56,7 +57,7 @@ def with_messages(df: DataFrame, image_root: str = "") -> DataFrame:
 
 def size_matched(rows: DataFrame, n: int, seed: int = 7) -> DataFrame:
     """Exactly ``n`` rows (all if fewer), by a shuffle that depends on row_idx and seed alone."""
-    return rows.withColumn("_key", order_key(seed)).orderBy("_key", "row_idx").limit(n).drop("_key")
+    return first_rows(rows.withColumn("_key", order_key(seed)), n, "_key", "row_idx").drop("_key")
 
 
 def groups(annotated: DataFrame, existing: DataFrame | None = None, seed: int = 7) -> dict[str, DataFrame]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sieveline.context import Context
 from sieveline.functions.scalar import unit
+from sieveline.storage import written
 
 #: Fixed value: keys of text vectors start with this; image vectors have the sample's id alone.
 TEXT_PREFIX = "txt:"
@@ -26,9 +27,19 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def one_each(table: DataFrame) -> DataFrame:
+    """One vector for each key: the least of several."""
+    return table.groupBy("key").agg(F.min("vec").alias("vec"))
+
+
 def save(table: DataFrame, path: str) -> None:
-    """Write the table; one vector for each key."""
-    table.groupBy("key").agg(F.first("vec").alias("vec")).write.mode("overwrite").parquet(path)
+    """Write the table, one vector for each key: as Parquet, or as an .npz file for other tools, which passes through the driver."""
+    if not path.endswith(".npz"):
+        one_each(table).write.mode("overwrite").parquet(path)
+        return
+    rows = [(r["key"], r["vec"]) for r in one_each(table).orderBy("key").toLocalIterator()]
+    if rows:
+        np.savez(path, keys=np.array([k for k, _ in rows]), mat=np.array([v for _, v in rows], np.float32))
 
 
 def missing(df: DataFrame, table: DataFrame, prefix: str = "") -> DataFrame:
@@ -37,13 +48,20 @@ def missing(df: DataFrame, table: DataFrame, prefix: str = "") -> DataFrame:
 
 
 def with_vectors(df: DataFrame, ctx: Context, name: str, prefix: str, encoder: str) -> DataFrame:
-    """``df`` with a unit vector by id (null if there is none).  The provider ``encoder`` makes vectors that are missing."""
+    """``df`` with a unit vector by id (null if there is none).  The provider ``encoder`` makes vectors that are missing.
+
+    Made vectors are written once, so the provider does not run again for whatever reads them.  Each row alive counts
+    as a hit or a miss of the store.
+    """
     table = ctx.embeddings if ctx.embeddings is not None else ctx.spark.createDataFrame([], SCHEMA)
     encode = ctx.providers.get(encoder)
     if encode is not None:
-        todo = missing(df, table, prefix)
-        made = encode(todo).select(F.concat(F.lit(prefix), F.col("key")).alias("key"), unit(F.col("vec")).cast("array<float>").alias("vec"))
-        ctx.embeddings = table = table.select("key", "vec").unionByName(made)
-    own = table.filter(F.col("key").startswith(TEXT_PREFIX) == F.lit(bool(prefix))).groupBy("key").agg(F.first("vec").alias(name))
-    own = own.withColumnRenamed("key", "_key")
+        todo = written(missing(df, table, prefix), "missing")
+        misses = todo.count()
+        ctx.cache_misses += misses
+        ctx.cache_hits += df.filter("keep").count() - misses
+        if misses:
+            made = encode(todo).select(F.concat(F.lit(prefix), F.col("key")).alias("key"), unit(F.col("vec")).cast("array<float>").alias("vec"))
+            ctx.embeddings = table = table.select("key", "vec").unionByName(written(made, "vectors"))
+    own = one_each(table.filter(F.col("key").startswith(TEXT_PREFIX) == F.lit(bool(prefix)))).withColumnsRenamed({"vec": name, "key": "_key"})
     return df.join(own, F.concat(F.lit(prefix), F.col("id")) == F.col("_key"), "left").drop("_key")

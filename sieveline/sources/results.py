@@ -11,20 +11,26 @@ from pyspark.sql import functions as F
 
 
 def harvest(folder: str, model: str, dataset: str, column: str = "Overall") -> float | None:
-    """The headline number of a result file below ``folder``: of files named for model and dataset, acc or score ones first, then the shortest name."""
-    found: list[str] = []
-    for pattern in (f"{model}/**/*{dataset}*.csv", f"**/*{model}*{dataset}*.csv", f"**/*{dataset}*.csv"):
-        found = glob.glob(os.path.join(folder, pattern), recursive=True)
-        if found:
-            break
-    for path in sorted(found, key=lambda p: (not any(k in os.path.basename(p).lower() for k in ("acc", "score")), len(os.path.basename(p)), p)):
-        with open(path, newline="", encoding="utf-8") as f:
-            for row in csv.DictReader(f):
-                cell = next((v for k, v in row.items() if k and k.strip().lower() == column.lower()), None)
-                try:
-                    return float(cell)
-                except (TypeError, ValueError):
-                    continue
+    """The headline number of a model's result file below ``folder``; None if there is none.
+
+    Files of the model's own folder, and files anywhere that name model and dataset, are looked at together: acc or
+    score ones first, then those of the shortest path.  The first that holds a number in the column gives it.  A file
+    of another model never does.
+    """
+    m, d = glob.escape(model), glob.escape(dataset)
+    found = {p for pattern in (f"{m}/*{d}*.csv", f"{m}*{d}*.csv", f"**/*{m}*{d}*.csv") for p in glob.glob(os.path.join(folder, pattern), recursive=True)}
+    for path in sorted(found, key=lambda p: (not any(k in p for k in ("acc", "score")), len(p), p)):
+        try:
+            with open(path, newline="", encoding="utf-8") as f:
+                rows = list(csv.DictReader(f))
+        except (OSError, UnicodeDecodeError, csv.Error):
+            continue
+        for row in rows:
+            cell = next((v for k, v in row.items() if k and k.strip().lower() == column.lower()), None)
+            try:
+                return float(cell)
+            except (TypeError, ValueError):
+                continue
     return None
 
 

@@ -46,3 +46,13 @@ def remove(df: DataFrame) -> None:
         if folder.startswith(shared_folder(spark)) or folder.startswith("file:"):
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
+
+
+def balanced(df: DataFrame, per_task: int = 32 << 20) -> DataFrame:
+    """``df`` for work that is heavy per row: a table so small that its files give too few tasks is dealt over all cores.
+
+    A table of over ``per_task`` bytes a core stays as it is: its splits keep all cores busy, and it is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(cores) if size <= per_task * cores else df
