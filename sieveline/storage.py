@@ -54,5 +54,5 @@ def balanced(df: DataFrame, per_task: int = 32 << 20) -> DataFrame:
     A table of over ``per_task`` bytes a core stays as it is: its splits keep all cores busy, and it is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size <= per_task * cores else df
