@@ -20,9 +20,10 @@ from sieveline.plans import noise as N
 from sieveline.plans import report as R
 from sieveline.plans import sft
 from sieveline.plans.pipeline import Pipeline
-from sieveline.plans.prepare import distinct_images
+from sieveline.plans.prepare import distinct_images, synthetic, synthetic_images
 from sieveline.registry import build_op
 from sieveline.schema import as_samples, meta_text
+from sieveline.sources.images import NoisyImages, header_sizes
 from sieveline.sources.results import delta_table
 from sieveline.storage import balanced, written
 
@@ -283,6 +284,57 @@ def phash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_match_dedup(rows, 3, None)
 
 
+def phash_dedup_text_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with captions of ten words: of some copies one word is another, of some there is one word more."""
+    rows = hash_rows(spark, sf_dir)
+    own = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit("w"), F.pmod(F.floor(F.col("row_idx") / 3) + i, F.lit(50)).cast("string")))
+    copy, vec = F.pmod("row_idx", F.lit(3)), F.floor(F.col("row_idx") / 3)
+    toks = F.when((copy == 2) & (vec % 2 == 0), F.array_append(F.slice(own, 2, 9), "other")).when((copy == 1) & (vec % 3 == 0), F.array_append(own, "more")).otherwise(own)
+    return first_match_dedup(rows.withColumn("toks", toks), 3, 0.9)
+
+
+# ---------------------------------------------------------------- pictures
+
+
+def blur_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blur gate over gray pictures of 12 by 12 whose values follow from a supplier's key."""
+    k = F.col("s_suppkey").cast("long")
+    cell = lambda i: F.pmod(k * 31 + F.pmod(i, F.lit(12)) * F.pmod(i, F.lit(12)) * 7 + F.floor(i / 12) * 13 + F.pmod(i, F.lit(12)) * F.floor(i / 12) * F.pmod(k, F.lit(5)), F.lit(256))
+    data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(143)), lambda i: F.lpad(F.hex(cell(i).cast("long")), 2, "0")), ""))
+    rows = table(spark, sf_dir, "supplier").select(k.alias("row_idx"), F.concat(F.lit("/"), k.cast("string")).alias("image_path"), data.alias("data"))
+    side = F.lit(12)
+    pictures = rows.select(F.col("image_path").alias("image_file"), side.alias("width"), side.alias("height"), F.lit(1).alias("n_channels"), "data")
+    out = build_op("image_blur_filter", {"min_variance": 20000.0}).apply(as_samples(rows.select("row_idx", F.col("row_idx").cast("string").alias("id"), "image_path", F.lit("").alias("text"))), Context(spark, images=pictures))
+    return out.select(F.col("row_idx").alias("s_suppkey"), "keep", "drop_reason", F.round(F.col("scores")["blur_var"], 3).alias("blur_var"))
+
+
+def image_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes read from PNG, GIF and BMP headers that are made of a part's numbers."""
+    w, h = F.col("p_size").cast("long") * 40, F.floor("p_retailprice").cast("long")
+    big = lambda v: F.lpad(F.hex(v), 8, "0")
+    low = lambda v, n: F.concat(*(F.lpad(F.hex(F.pmod(F.floor(v / 256**i), F.lit(256)).cast("long")), 2, "0") for i in range(n)))
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big(w), big(h))
+    gif = F.concat(F.lit("474946383961"), low(w, 2), low(h, 2))
+    bmp = F.concat(F.lit("424D" + "00" * 16), low(w, 4), low(h, 4))
+    kind = F.pmod("p_partkey", F.lit(3))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.unhex(F.when(kind == 0, png).when(kind == 1, gif).otherwise(bmp)).alias("content"))
+    return rows.select("p_partkey", header_sizes(F.col("content")).alias("s")).select("p_partkey", F.col("s.width").cast("long").alias("width"), F.col("s.height").cast("long").alias("height"))
+
+
+def image_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic pictures, one for each supplier, with near copies and spoilt ones among them, through resolution, blur and hash dedup."""
+    n = table(spark, sf_dir, "supplier").count()
+    clean = synthetic(spark, n)
+    drawn = synthetic_images(clean)
+    pictures = written(drawn.select(F.concat(F.lit("/"), "name").alias("image_file"), "width", "height", F.lit(3).alias("n_channels"), F.col("rgb").alias("data")), "pictures")
+    hook = NoisyImages(Context(spark, images=pictures))
+    absolute = clean.withColumn("image_path", F.concat(F.lit("/"), "image_path"))
+    rows = N.inject(absolute, {"duplicate_near": max(1, n // 10), "lowquality_image": max(1, n // 5)}, SEED, hook)
+    steps = [{"name": "image_resolution_filter"}, {"name": "image_blur_filter", "params": {"min_variance": 30.0}}, {"name": "phash_dedup"}]
+    out = Pipeline({"ops": steps}).transform(rows, hook.context())
+    return out.select("row_idx", "id", "keep", "drop_reason", meta_text("noise_type").alias("noise_type"), meta_text("degrade_mode").alias("degrade_mode"))
+
+
 # ---------------------------------------------------------------- training sets
 
 
@@ -363,7 +415,7 @@ QUERIES: dict[str, Query] = {
         pipeline_annotated, pipeline_op_report, pipeline_totals, drop_reason_histogram, drops_by_noise, score_distribution, latency_quantiles,
         inject_mismatch_ring, inject_duplicates, inject_gibberish, inject_wrong_lang, inject_order, noise_composition,
         eval_overall, eval_per_operator, eval_operator_noise_types, eval_per_noise_type, eval_caught_by, eval_dedup_groups, threshold_sweep, best_threshold,
-        clip_score_filter, aesthetic_score_filter, semantic_dedup, semantic_dedup_text_aware, band_candidates, hamming_pairs, phash_dedup,
+        clip_score_filter, aesthetic_score_filter, semantic_dedup, semantic_dedup_text_aware, band_candidates, hamming_pairs, phash_dedup, phash_dedup_text_aware, blur_filter, image_headers, image_noise,
         extract_text, to_sharegpt, sft_groups, sft_manifest, size_matched_sample,
         resolution_gate, ocr_density, distinct_image_refs,
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 from itertools import combinations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,17 +48,18 @@ def matching_pairs(nodes: DataFrame, threshold: int, text_threshold: float | Non
     return pairs.select(F.col("row_idx_a").alias("i"), F.col("row_idx_b").alias("j"), "band").distinct()
 
 
-def first_wins(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def first_wins(edges: DataFrame, at_once: int = 1 << 17) -> DataFrame:
     """(j, kept) for all later ends of ``edges`` (i, j): whether a row stays when rows are seen in order and one goes that matches a kept row before it.
 
     A row with a kept row before it goes; one whose rows before it have all gone, or that has none, stays.  Each
-    round decides all rows that can be decided and writes the rest to the shared folder.
+    round decides all rows that can be decided and writes the rest to the shared folder; once no more than ``at_once``
+    edges are left, one task walks through them in order.
     """
     spark = edges.sparkSession
     states = spark.createDataFrame([], "j long, kept boolean")
     open_edges = written(edges.select("i", "j"), "edges")
     owned = True
-    for _ in range(max_rounds):
+    while open_edges.count() > at_once:
         waiting = open_edges.select("j").distinct()
         firsts = open_edges.select(F.col("i").alias("j")).distinct().join(waiting, "j", "left_anti")
         lost = written(open_edges.join(firsts.withColumnRenamed("j", "i"), "i", "left_semi").select("j").distinct(), "lost")
@@ -68,10 +71,21 @@ def first_wins(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         nxt = written(rest, "edges")
         if owned:
             remove(open_edges)
-        open_edges = nxt
-        if open_edges.isEmpty():
-            return states
-    raise RuntimeError(f"not decided in {max_rounds} rounds")
+        open_edges, owned = nxt, True
+    return states.unionByName(open_edges.coalesce(1).sortWithinPartitions("j", "i").mapInArrow(_walk, "j long, kept boolean"))
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rule of :func:`first_wins` over edges in order of j."""
+    gone: set[int] = set()
+    seen: dict[int, bool] = {}
+    for b in batches:
+        for i, j in zip(b.column("i").to_pylist(), b.column("j").to_pylist(), strict=True):
+            seen.setdefault(j, True)
+            if i not in gone:
+                seen[j] = False
+                gone.add(j)
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.bool_())], names=["j", "kept"])
 
 
 def first_match_dedup(rows: DataFrame, threshold: int = 3, text_threshold: float | None = 0.9) -> DataFrame:

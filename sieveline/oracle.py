@@ -180,7 +180,7 @@ hashes AS (
 banded AS (SELECT row_idx, h, unnest([0, 1, 2, 3])::BIGINT AS band, unnest([h & 65535, (h >> 16) & 65535, (h >> 32) & 65535, (h >> 48) & 65535]) AS value FROM hashes)"""
 _NEAR = f"""{_HASHES},
 near AS (SELECT a.row_idx AS i, b.row_idx AS j, min(a.band) AS band FROM banded a JOIN banded b ON a.band = b.band AND a.value = b.value AND a.row_idx < b.row_idx WHERE bit_count(xor(a.h, b.h)) <= 3 GROUP BY ALL)"""
-_FIRST = f"""{_NEAR},
+_WALK = """,
 numbered AS (SELECT row_idx, row_number() OVER (ORDER BY row_idx) AS rn FROM hashes),
 befores AS (SELECT n.rn, n.row_idx, coalesce(e.i, []::BIGINT[]) AS before FROM numbered n LEFT JOIN (SELECT j, list(i) AS i FROM near GROUP BY j) e ON e.j = n.row_idx),
 walk AS (
@@ -188,6 +188,18 @@ walk AS (
   UNION ALL SELECT b.rn, CASE WHEN len(list_filter(b.before, lambda x: NOT list_contains(w.gone, x))) > 0 THEN list_append(w.gone, b.row_idx) ELSE w.gone END FROM walk w JOIN befores b ON b.rn = w.rn + 1),
 final AS (SELECT unnest(gone) AS row_idx FROM (SELECT gone FROM walk ORDER BY rn DESC LIMIT 1))
 SELECT f.row_idx, arg_min(e.i, e.band * 1000000000000 + e.i) AS duplicate_of_idx FROM final f JOIN near e ON e.j = f.row_idx WHERE e.i NOT IN (SELECT row_idx FROM final) GROUP BY f.row_idx"""
+_FIRST = _NEAR + _WALK
+_toks = "list_transform(range(10), lambda i: 'w' || ((row_idx // 3 + i) % 50))"
+_FIRST_WORDED = f"""{_HASHES},
+worded AS (SELECT row_idx, CASE WHEN row_idx % 3 = 2 AND row_idx // 3 % 2 = 0 THEN list_append({_toks}[2:], 'other') WHEN row_idx % 3 = 1 AND row_idx // 3 % 3 = 0 THEN list_append({_toks}, 'more') ELSE {_toks} END AS toks FROM hashes),
+alike AS (SELECT a.row_idx AS i, b.row_idx AS j, min(a.band) AS band FROM banded a JOIN banded b ON a.band = b.band AND a.value = b.value AND a.row_idx < b.row_idx WHERE bit_count(xor(a.h, b.h)) <= 3 GROUP BY ALL),
+near AS (SELECT i, j, band FROM alike JOIN worded a ON a.row_idx = i JOIN worded b ON b.row_idx = j WHERE len(list_intersect(a.toks, b.toks)) / len(list_distinct(list_concat(a.toks, b.toks))) >= 0.9)""" + _WALK
+
+# ---------------------------------------------------------------- pictures
+
+_value = lambda x, y: f"((s_suppkey * 31 + ({x}) * ({x}) * 7 + ({y}) * 13 + ({x}) * ({y}) * (s_suppkey % 5)) % 256)"
+_LAPLACIAN = f"{_value('x - 1', 'y')} + {_value('x + 1', 'y')} + {_value('x', 'y - 1')} + {_value('x', 'y + 1')} - 4 * {_value('x', 'y')}"
+_BLUR = f"SELECT s_suppkey, var_pop({_LAPLACIAN}) AS v FROM supplier, range(1, 11) a(x), range(1, 11) b(y) GROUP BY s_suppkey"
 
 # ---------------------------------------------------------------- chats
 
@@ -241,6 +253,9 @@ def sql() -> dict[str, str]:
         "band_candidates": _with(_HASHES, "SELECT band, value, count(*) AS n FROM banded GROUP BY ALL HAVING count(*) > 1"),
         "hamming_pairs": _with(_NEAR, "SELECT i, j, band FROM near"),
         "phash_dedup": _with(_FIRST, "", True),
+        "phash_dedup_text_aware": _with(_FIRST_WORDED, "", True),
+        "blur_filter": f"SELECT s_suppkey, v >= 20000 AS keep, CASE WHEN v < 20000 THEN 'image_blur_filter:below_min' END AS drop_reason, round(v, 3) AS blur_var FROM ({_BLUR})",
+        "image_headers": "SELECT p_partkey, p_size * 40 AS width, CAST(floor(p_retailprice) AS BIGINT) AS height FROM part",
         "extract_text": _with(_CHATS, "SELECT conv_id, coalesce(string_agg(c, chr(10) ORDER BY turn) FILTER (r = 'assistant' AND c <> ''), '') AS text FROM turns GROUP BY conv_id"),
         "to_sharegpt": _with(f"{_CHATS}, made AS (SELECT conv_id, string_agg(r || ': ' || CASE WHEN k = 0 AND tokens = 0 THEN '<image>' || chr(10) || c ELSE c END, chr(10) || '--' || chr(10) ORDER BY k) AS messages, any_value(n) AS n_messages FROM turns JOIN good USING (conv_id) GROUP BY conv_id)", "SELECT c.conv_id, messages, CASE WHEN n_messages IS NOT NULL THEN '/data/shared.jpg' END AS image, n_messages FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN made USING (conv_id)"),
         "sft_groups": _with(groups, "SELECT grp, row_idx, id FROM grouped"),

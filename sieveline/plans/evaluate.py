@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalar import op_of, prf, rate
 from sieveline.plans.order import running_sums
 from sieveline.schema import meta_text, meta_true
+from sieveline.storage import write_text
 
 
 def labelled(annotated: DataFrame) -> DataFrame:
@@ -125,15 +126,10 @@ def to_markdown(found: dict, swept: list[dict] | None = None) -> str:
     return "\n".join(lines) + "\n"
 
 
-def write(found: dict, folder: str, swept: list[dict] | None = None) -> None:
-    """op_eval.json and op_eval.md in a local folder."""
-    import os
-
-    os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, "op_eval.json"), "w", encoding="utf-8") as f:
-        json.dump(found | ({"sweep": swept} if swept else {}), f, ensure_ascii=False, indent=2)
-    with open(os.path.join(folder, "op_eval.md"), "w", encoding="utf-8") as f:
-        f.write(to_markdown(found, swept))
+def write(spark: SparkSession, found: dict, folder: str, swept: list[dict] | None = None) -> None:
+    """op_eval.json and op_eval.md in a folder of any file system that the session knows."""
+    write_text(spark, f"{folder}/op_eval.json", [json.dumps(found | ({"sweep": swept} if swept else {}), ensure_ascii=False, indent=2)])
+    write_text(spark, f"{folder}/op_eval.md", [to_markdown(found, swept)])
 
 
 __all__ = ["Column", "best_threshold", "caught_by", "dedup_groups", "evaluate", "labelled", "operator_noise_types", "overall", "per_noise_type", "per_operator", "sweep", "sweep_rows", "to_markdown", "write"]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,9 +121,3 @@ class Pipeline:
         _write_text(spark, f"{self.output_dir}/report.json", R.to_json(result))
         _write_text(spark, f"{self.output_dir}/report.md", R.to_markdown(result))
         return result
-
-
-def checkpoint_number(name: str) -> int | None:
-    """The step number at the start of a checkpoint's name."""
-    m = re.match(r"(\d+)_", name)
-    return int(m[1]) if m else None

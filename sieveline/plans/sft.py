@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from sieveline.functions.text import stripped
 from sieveline.plans.noise import composition
 from sieveline.plans.order import first_rows, order_key
 from sieveline.schema import meta_text
-from sieveline.storage import written
+from sieveline.storage import write_text, written
 
 IMAGE_TOKEN = "<image>"
 #: Roles of turns, and what they are in a training record.
@@ -87,17 +87,32 @@ def manifest(sets: dict[str, DataFrame], image_root: str, batch: int = 2, accumu
     return out
 
 
-def write_sets(sets: dict[str, DataFrame], folder: str, image_root: str, **training) -> dict:
-    """Each set as JSON lines below ``folder`` (a folder of part files), with dataset_info.json and manifest.json."""
+def write_sets(sets: dict[str, DataFrame], folder: str, image_root: str, single_files: bool = False, prefix: str = "", **training) -> dict:
+    """Each set below ``folder``, with dataset_info.json and manifest.json; on any file system that Spark writes to.
+
+    A set is a folder of JSON lines, written by all executors; with ``single_files`` it is one array in
+    ``<name>.json``, as trainers on one machine read it, whose rows pass through the driver one by one.  Sets are
+    registered as ``prefix`` and name.
+    """
+    files = {}
     for name, rows in sets.items():
         ready = with_messages(rows, image_root).filter("messages is not null")
-        ready.select(F.to_json(F.struct("messages", "images")).alias("value")).write.mode("overwrite").text(f"{folder}/{name}")
+        lines = ready.select("row_idx", F.to_json(F.struct("messages", "images")).alias("value"))
+        files[name] = f"{name}.json" if single_files else name
+        if single_files:
+            values = (r["value"] for r in lines.orderBy("row_idx").toLocalIterator())
+            pieces = (piece for i, v in enumerate(values) for piece in (",\n" if i else "", v))
+            write_text(rows.sparkSession, f"{folder}/{name}.json", chain(["["], pieces, ["]"]))
+        else:
+            lines.select("value").write.mode("overwrite").text(f"{folder}/{name}")
     found = manifest(sets, image_root, **training)
-    info = {name: {"file_name": name, "formatting": "sharegpt", "columns": {"messages": "messages", "images": "images"}, "tags": {"role_tag": "role", "content_tag": "content", "user_tag": "user", "assistant_tag": "assistant"}} for name in sets}
-    os.makedirs(folder, exist_ok=True)
+    for name in sets:
+        found["groups"][name]["file"] = files[name]
+    tags = {"role_tag": "role", "content_tag": "content", "user_tag": "user", "assistant_tag": "assistant"}
+    info = {prefix + name: {"file_name": files[name], "formatting": "sharegpt", "columns": {"messages": "messages", "images": "images"}, "tags": tags} for name in sets}
+    spark = next(iter(sets.values())).sparkSession
     for file, data in (("dataset_info.json", info), ("manifest.json", found)):
-        with open(os.path.join(folder, file), "w", encoding="utf-8") as f:
-            json.dump(data, f, ensure_ascii=False, indent=2)
+        write_text(spark, f"{folder}/{file}", [json.dumps(data, ensure_ascii=False, indent=2)])
     return found
 
 

@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sieveline.plans.prepare import distinct_images
 from sieveline.sources.images import LEAST_BYTES, header_size
@@ -54,8 +55,11 @@ def fetch_one(url: str, path: str, retries: int = 3, timeout: float = 20.0, wait
     return "failed"
 
 
-def fetch(samples: DataFrame, base_url: str, folder: str, threads: int = 16, **options) -> DataFrame:
-    """(image_path, status) of every image that ``samples`` refer to, fetched to ``folder`` (mounted by all executors)."""
+def fetch(samples: DataFrame, base_url: str, folder: str, threads: int = 16, limit: int | None = None, **options) -> DataFrame:
+    """(image_path, status) of every image that ``samples`` refer to, fetched to ``folder`` (mounted by all executors).
+
+    With ``limit`` only the images mentioned first, for a trial.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(threads) as pool:
@@ -64,4 +68,14 @@ def fetch(samples: DataFrame, base_url: str, folder: str, threads: int = 16, **o
                 status = list(pool.map(lambda p: fetch_one(f"{base_url.rstrip('/')}/{p}", os.path.join(folder, p), **options), todo))
                 yield pd.DataFrame({"image_path": todo, "status": status})
 
-    return distinct_images(samples).select("image_path").mapInPandas(run, "image_path string, status string")
+    wanted = distinct_images(samples)
+    if limit is not None:
+        wanted = wanted.orderBy("row_idx", "image_path").limit(limit)
+    return wanted.select("image_path").mapInPandas(run, "image_path string, status string")
+
+
+def summary(fetched: DataFrame, first: int = 5) -> tuple[dict[str, int], list[str]]:
+    """How many images have each status, and the first few that are not there, by path; ``fetched`` should be written."""
+    counts = {r["status"]: r["n"] for r in fetched.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    gone = fetched.filter("status in ('missing', 'failed')").orderBy("image_path").limit(first)
+    return counts, [r["image_path"] for r in gone.collect()]

@@ -5,13 +5,16 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.context import Context
+from sieveline.plans.order import order_key
+from sieveline.storage import written
 
 #: Fixed value: files below this size are no images.
 LEAST_BYTES = 1024
@@ -59,6 +62,11 @@ def _sizes(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"width": pd.array([f[0] if f else None for f in found], "Int32"), "height": pd.array([f[1] if f else None for f in found], "Int32")})
 
 
+def header_sizes(content: Column) -> Column:
+    """A struct (width, height) from the first bytes of image files; nulls where they say nothing."""
+    return F.pandas_udf(_sizes, "struct<width:int,height:int>")(content)
+
+
 def _as_path(column):
     """The file part of a URI as Spark's file sources give it, for local and absolute paths alike."""
     return F.regexp_replace(column, "^file:/+", "/")
@@ -67,7 +75,7 @@ def _as_path(column):
 def size_table(ctx: Context, folder: str) -> DataFrame:
     """(image_file, width, height) of all files below ``folder``, by their headers; null for unreadable ones."""
     files = ctx.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    sized = files.select(_as_path(F.col("path")).alias("image_file"), F.pandas_udf(_sizes, "struct<width:int,height:int>")("content").alias("s"))
+    sized = files.select(_as_path(F.col("path")).alias("image_file"), header_sizes(F.col("content")).alias("s"))
     return sized.select("image_file", "s.width", "s.height")
 
 
@@ -88,7 +96,8 @@ def with_sizes(df: DataFrame, ctx: Context) -> DataFrame:
 def with_measure(df: DataFrame, ctx: Context, name: str, measure: Callable, kind: str) -> DataFrame:
     """``df`` with ``measure`` over the pixels of its image, null without readable image.
 
-    Rows that are dropped already cost nothing: only images of rows alive are measured, each image once.
+    Only images of rows alive are measured, each image once.  Files are decoded by Spark's image source, which opens
+    every image below the folder; where a run looks at few of them, give their pixels in the context instead.
     """
     table = ctx.images if ctx.images is not None else pixel_table(ctx, ctx.image_root)
     wanted = df.filter("keep").select(ctx.resolve_image().alias("image_file")).filter("image_file is not null").distinct()
@@ -212,3 +221,77 @@ def write_pngs(images: DataFrame, folder: str) -> DataFrame:
             yield pd.DataFrame({"name": b["name"], "bytes": sizes})
 
     return images.select("name", "width", "height", "rgb").mapInPandas(write, "name string, bytes long")
+
+
+# ---------------------------------------------------------------- noise
+
+
+def blurred(pixels: np.ndarray, sigma: float) -> np.ndarray:
+    """An array (height, width, channels) under a Gaussian, edges repeated."""
+    reach = max(1, int(3 * sigma))
+    at = np.arange(-reach, reach + 1)
+    w = np.exp(-(at**2) / (2 * sigma**2))
+    w /= w.sum()
+    out = pixels.astype(float)
+    for axis in (0, 1):
+        padded = np.pad(out, [(reach, reach) if a == axis else (0, 0) for a in range(3)], mode="edge")
+        out = sum(k * np.take(padded, np.arange(i, i + out.shape[axis]), axis) for i, k in enumerate(w))
+    return np.rint(out)
+
+
+def rescaled(pixels: np.ndarray, factor: float) -> np.ndarray:
+    """An array (height, width, channels) with sides times ``factor``, at least one."""
+    h, w = (max(1, int(side * factor)) for side in pixels.shape[:2])
+    return np.stack([resized(pixels[:, :, c].astype(float), w, h, "cubic") for c in range(pixels.shape[2])], axis=2)
+
+
+def near_copy(pixels: np.ndarray, key: int) -> np.ndarray:
+    """The same picture in other bytes: three quarters to nearly all of its size, every other one without 3 % at each edge."""
+    out = rescaled(pixels, 0.75 + key % 21 / 100)
+    if key // 21 % 2:
+        dy, dx = (int(side * 0.03) for side in out.shape[:2])
+        out = out[dy : out.shape[0] - dy, dx : out.shape[1] - dx]
+    return out
+
+
+def degraded(pixels: np.ndarray, key: int) -> tuple[np.ndarray, str]:
+    """A picture that is too small, or blurred; and which of the two, by ``key``."""
+    if key % 2:
+        return rescaled(pixels, (64 + key // 2 % 137) / max(1, min(pixels.shape[:2]))), "downscale"
+    return blurred(pixels, 4 + key // 2 % 51 / 10), "blur"
+
+
+class NoisyImages:
+    """The two classes of noise that change images: a hook for ``inject``, whose pictures join those of a context.
+
+    Source pixels are those of ``ctx.images``, or decoded from its folder; rows without a readable image get no noisy
+    row.  ``pixels`` has the context's pictures and all that were made.
+    """
+
+    def __init__(self, ctx: Context, folder: str = "noise"):
+        self.ctx, self.folder = ctx, folder
+        self.pixels = ctx.images if ctx.images is not None else pixel_table(ctx, ctx.image_root)
+
+    def __call__(self, rows: DataFrame, kind: str, seed: int) -> DataFrame:
+        found = self.pixels.filter("width > 0").select(F.col("image_file").alias("_file"), "width", "height", "n_channels", "data")
+        joined = rows.join(found, self.ctx.resolve_image() == F.col("_file"))
+        source = joined.select("row_idx", "width", "height", "n_channels", "data", order_key(seed + len(kind)).alias("key"))
+
+        def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = []
+                for i, w, h, c, data, key in zip(b["row_idx"], b["width"], b["height"], b["n_channels"], b["data"], b["key"], strict=True):
+                    p = np.frombuffer(data, np.uint8).reshape(h, w, c)
+                    p, mode = (near_copy(p, key), None) if kind == "duplicate_near" else degraded(p, key)
+                    out.append((i, p.shape[1], p.shape[0], c, p.astype(np.uint8).tobytes(), mode))
+                yield pd.DataFrame(out, columns=["row_idx", "width", "height", "n_channels", "data", "_mode"])
+
+        schema = "row_idx long, width int, height int, n_channels int, data binary, _mode string"
+        made = written(source.mapInPandas(make, schema), "noisy_images")
+        path = F.concat(F.lit(f"/{self.folder.strip('/')}/{kind}/"), F.col("row_idx").cast("string"), F.lit(".png"))
+        self.pixels = self.pixels.unionByName(made.select(path.alias("image_file"), "width", "height", "n_channels", "data"))
+        return rows.join(made.select("row_idx", "_mode"), "row_idx").withColumn("image_path", path).select(*rows.columns, "_mode")
+
+    def context(self) -> Context:
+        """The context with all pictures."""
+        return replace(self.ctx, images=self.pixels)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,22 @@ def balanced(df: DataFrame, per_task: int = 32 << 20) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size <= per_task * cores else df
+
+
+def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
+    """Write text, piece by piece, to one file on any file system that the session knows; it replaces what is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        for piece in pieces:
+            out.write(bytearray(piece.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file on any file system that the session knows; None if it is missing."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
