@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm import decontamination, linededup, nearcopies, packing, toxicity
-from sieveline.storage import written
+from sieveline.storage import discard, mark, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -54,8 +54,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn over ``documents``; each result is written to the shared folder and read again.
+
+    What a stage wrote on the way, and the result of the stage before, is deleted once its own result is written.
+    """
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        discard(spark, since, docs)
     return docs

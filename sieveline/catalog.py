@@ -145,6 +145,14 @@ def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.latency_quantiles(table(spark, sf_dir, "events").select(F.col("event_type").alias("key"), "value"))
 
 
+def serving_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as requests: one a second, four levels of concurrency, one in seven failed."""
+    k = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select(F.pmod("user_id", F.lit(4)).cast("long").alias("concurrency"), (k % 7 != 0).alias("ok"), k.cast("double").alias("begun"), (k + 2).cast("double").alias("ended"), F.col("value").alias("ttft"), (F.col("value") / 8).alias("tpot"), (k % 100).alias("out_tokens"))
+    found = R.serving_stats(rows)
+    return found.select(*(F.round(c, 6).alias(c) if c in ("req_per_s", "out_tok_per_s", "tpot_p50", "mean_out_tokens") else c for c in found.columns))
+
+
 # ---------------------------------------------------------------- noise
 
 
@@ -412,7 +420,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         text_quality_filter, text_quality_summary, text_ratios, script_counts, lang_id_filter, token_jaccard,
-        pipeline_annotated, pipeline_op_report, pipeline_totals, drop_reason_histogram, drops_by_noise, score_distribution, latency_quantiles,
+        pipeline_annotated, pipeline_op_report, pipeline_totals, drop_reason_histogram, drops_by_noise, score_distribution, latency_quantiles, serving_stats,
         inject_mismatch_ring, inject_duplicates, inject_gibberish, inject_wrong_lang, inject_order, noise_composition,
         eval_overall, eval_per_operator, eval_operator_noise_types, eval_per_noise_type, eval_caught_by, eval_dedup_groups, threshold_sweep, best_threshold,
         clip_score_filter, aesthetic_score_filter, semantic_dedup, semantic_dedup_text_aware, band_candidates, hamming_pairs, phash_dedup, phash_dedup_text_aware, blur_filter, image_headers, image_noise,

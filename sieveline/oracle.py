@@ -254,6 +254,10 @@ def sql() -> dict[str, str]:
         "hamming_pairs": _with(_NEAR, "SELECT i, j, band FROM near"),
         "phash_dedup": _with(_FIRST, "", True),
         "phash_dedup_text_aware": _with(_FIRST_WORDED, "", True),
+        "serving_stats": "WITH r AS (SELECT user_id % 4 AS concurrency, event_id % 7 <> 0 AS ok, event_id::DOUBLE AS begun, (event_id + 2)::DOUBLE AS ended, value, event_id % 100 AS tok FROM events), "
+        "w AS (SELECT concurrency, max(ended) - min(begun) AS wall, count(*) FILTER (NOT ok) AS failed FROM r GROUP BY 1), "
+        "g AS (SELECT concurrency, count(*) AS ok, sum(tok) AS tok, list_sort(list(value))[CAST(round_even(0.5 * (count(*) - 1), 0) AS BIGINT) + 1] AS ttft_p50, list_sort(list(value))[CAST(round_even(0.9 * (count(*) - 1), 0) AS BIGINT) + 1] AS ttft_p90, list_sort(list(value))[CAST(round_even(0.99 * (count(*) - 1), 0) AS BIGINT) + 1] AS ttft_p99, median(value / 8) AS m FROM r WHERE ok GROUP BY 1) "
+        "SELECT concurrency, ok, failed, wall, round(ok / wall, 6) AS req_per_s, round(tok / wall, 6) AS out_tok_per_s, ttft_p50, ttft_p90, ttft_p99, round(m, 6) AS tpot_p50, round(tok / ok, 6) AS mean_out_tokens FROM w JOIN g USING (concurrency)",
         "blur_filter": f"SELECT s_suppkey, v >= 20000 AS keep, CASE WHEN v < 20000 THEN 'image_blur_filter:below_min' END AS drop_reason, round(v, 3) AS blur_var FROM ({_BLUR})",
         "image_headers": "SELECT p_partkey, p_size * 40 AS width, CAST(floor(p_retailprice) AS BIGINT) AS height FROM part",
         "extract_text": _with(_CHATS, "SELECT conv_id, coalesce(string_agg(c, chr(10) ORDER BY turn) FILTER (r = 'assistant' AND c <> ''), '') AS text FROM turns GROUP BY conv_id"),

@@ -63,6 +63,25 @@ def latency_quantiles(rows: DataFrame) -> DataFrame:
     return out.select("key", "n", "p50", "p90", "p99")
 
 
+def serving_stats(requests: DataFrame) -> DataFrame:
+    """Of each level of concurrency: ok, failed, wall, req_per_s, out_tok_per_s, ttft_p50, ttft_p90, ttft_p99, tpot_p50, mean_out_tokens.
+
+    ``requests`` has concurrency, ok, begun, ended (seconds), ttft, tpot and out_tokens.  wall is from the first begin
+    to the last end, failed requests included; all else is of those that are ok, null where none is.  Quantiles of
+    ttft are at index round(q * (n - 1)), halves to even; tpot_p50 is the median.
+    """
+    good = F.coalesce(F.col("ok"), F.lit(False))
+    sums = requests.groupBy("concurrency").agg(F.count_if(good).alias("ok"), F.count_if(~good).alias("failed"), (F.max("ended") - F.min("begun")).alias("wall"), F.sum(F.when(good, F.col("out_tokens"))).alias("tokens"))
+    of = lambda c: requests.filter(good).select(F.col("concurrency").alias("key"), F.col(c).alias("value"))
+    first = _value_quantiles(of("ttft"), {"ttft_p50": 0.5, "ttft_p90": 0.9, "ttft_p99": 0.99}, lambda q, n: F.bround(F.lit(q) * (n - 1)))
+    middle = _value_quantiles(of("tpot"), {"low": 0.0, "high": 1.0}, lambda q, n: F.floor((n - 1 + int(q)) / 2))
+    joined = sums.join(first.withColumnRenamed("key", "concurrency").select("concurrency", "ttft_p50", "ttft_p90", "ttft_p99"), "concurrency", "left")
+    joined = joined.join(middle.select(F.col("key").alias("concurrency"), ((F.col("low") + F.col("high")) / 2).alias("tpot_p50")), "concurrency", "left")
+    some, wall = F.col("ok") > 0, F.nullif(F.col("wall"), F.lit(0))
+    rates = [F.when(some, F.col("ok") / wall).alias("req_per_s"), F.when(some, F.col("tokens") / wall).alias("out_tok_per_s")]
+    return joined.select("concurrency", "ok", "failed", "wall", *rates, "ttft_p50", "ttft_p90", "ttft_p99", "tpot_p50", (F.col("tokens") / F.nullif(F.col("ok"), F.lit(0))).alias("mean_out_tokens"))
+
+
 def scores_of(annotated: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """(key, value) of the recorded scores."""
     rows = annotated.select(F.explode("scores").alias("key", "value"))

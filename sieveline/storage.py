@@ -13,6 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+#: Folders of the tables that this process has written and not removed, in order.
+_MADE: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,17 +38,42 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: computed once, lineage cut, survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _MADE.append(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written = path
+    return table
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    name = folder.rpartition("/")[2]
+    _MADE[:] = [p for p in _MADE if p.rpartition("/")[2] != name]
+
+
+def _folders(df: DataFrame) -> set[str]:
+    own = vars(df).get("_written")  # a table without rows may have no files
+    return {f.rpartition("/")[0] for f in df.inputFiles()} | ({own} if own else set())
 
 
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`written` that nothing reads any more."""
     spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+    for folder in _folders(df):
         if folder.startswith(shared_folder(spark)) or folder.startswith("file:"):
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(spark, folder)
+
+
+def mark() -> int:
+    """A place in the order in which tables are written, for :func:`discard`."""
+    return len(_MADE)
+
+
+def discard(spark: SparkSession, since: int, *kept: DataFrame) -> None:
+    """Delete all tables written after a mark, but for those that ``kept`` reads; nothing else may read them any more."""
+    names = {f.rpartition("/")[2] for df in kept for f in _folders(df)}
+    for folder in [p for p in _MADE[since:] if p.rpartition("/")[2] not in names]:
+        _delete(spark, folder)
 
 
 def balanced(df: DataFrame, per_task: int = 32 << 20) -> DataFrame:

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from sieveline import catalog
 from sieveline.context import Context
 from sieveline.operators.phash import first_wins
-from sieveline.plans import order, preflight, sft, throughput
+from sieveline.plans import order, preflight, report, sft, throughput
 from sieveline.plans.prepare import drawing, synthetic, synthetic_images
 from sieveline.schema import as_samples
 from sieveline.sources import embeddings, fetch, images, results
-from sieveline.storage import balanced, read_text, written
+from sieveline.storage import balanced, discard, mark, read_text, written
 
 
 def chats(spark, n):
@@ -175,3 +175,24 @@ def test_small_tables_are_dealt_over_all_cores(spark):
     one = spark.range(100).coalesce(1)
     assert balanced(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert balanced(one, per_task=1).rdd.getNumPartitions() == 1
+
+
+def test_intermediates_are_deleted_but_for_the_result(spark):
+    since = mark()
+    one, two = written(spark.range(5), "one"), written(spark.range(0), "two")
+    last = written(one.filter("id > 2"), "three")
+    discard(spark, since, last, two)
+    assert last.count() == 2 and two.count() == 0 and mark() == since + 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FileNotFound"):
+        spark.read.parquet(one._written)
+    discard(spark, since)
+    assert mark() == since
+
+
+def test_serving_statistics(spark):
+    rows = [(1, True, 0.0, 2.0, 0.1, 0.01, 10), (1, True, 1.0, 4.0, 0.3, 0.03, 30), (1, False, 0.0, 5.0, None, None, None), (2, False, 0.0, 1.0, None, None, None)]
+    frame = spark.createDataFrame(rows, "concurrency long, ok boolean, begun double, ended double, ttft double, tpot double, out_tokens long")
+    one, two = report.serving_stats(frame).orderBy("concurrency").collect()
+    assert (one["ok"], one["failed"], one["wall"], one["req_per_s"], one["out_tok_per_s"]) == (2, 1, 5.0, 0.4, 8.0)
+    assert (one["ttft_p50"], one["ttft_p99"], round(one["tpot_p50"], 6), one["mean_out_tokens"]) == (0.1, 0.3, 0.02, 20.0)
+    assert (two["ok"], two["failed"], two["req_per_s"], two["tpot_p50"]) == (0, 1, None, None)
