@@ -97,21 +97,22 @@ _GROUP = ["band", "key"]
 def met(nodes: DataFrame) -> DataFrame:
     """(band, key, node, n): the groups of two or more texts; ``nodes`` has node, n, bands, a row per distinct text."""
     keys = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    groups = keys.groupBy(*_GROUP).agg(F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    return keys.join(groups, _GROUP).select(*_GROUP, "node", "n")
+    groups = keys.groupBy(*_GROUP).agg(F.count("*").alias("rows")).filter("rows > 1")
+    return join_unique(keys, groups, _GROUP, "rows", BANDS * nodes.count()).select(*_GROUP, "node", "n")
 
 
 def _rooted(groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """``groups`` with the root of each node; only groups of two or more classes."""
+    """``groups`` with the root of each node and the number of rows of the group; only groups of two or more classes."""
     rows = groups.join(classes.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rows.groupBy(*_GROUP).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).filter("low < high")
-    return rows.join(mixed.select(*_GROUP, "rows"), _GROUP)
+    return join_unique(rows, mixed.select(*_GROUP, "rows", F.col("rows").alias("size")), _GROUP, "size", groups.count())
 
 
 def star(rows: DataFrame, turn: int) -> DataFrame:
     """(u, v): for each text the one with which it shares most bands, of the texts that lead its groups in this turn."""
-    leads = rows.groupBy(*_GROUP).agg(F.min_by(F.struct(F.col("node").alias("v"), F.col("root").alias("v_root")), F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("lead"))
-    pairs = rows.join(leads, _GROUP).select(F.col("node").alias("u"), "root", "lead.*").filter("root <> v_root")
+    lead = F.min_by(F.struct(F.col("node").alias("v"), F.col("root").alias("v_root")), F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
+    leads = rows.groupBy(*_GROUP).agg(lead.alias("lead"), F.count("*").alias("size"))
+    pairs = join_unique(rows, leads, _GROUP, "size", rows.count()).select(F.col("node").alias("u"), "root", "lead.*").filter("root <> v_root")
     return pairs.groupBy("u", "v").agg(F.count("*").alias("shared")).groupBy("u").agg(F.max_by("v", F.struct("shared", -F.col("v"))).alias("v"))
 
 
@@ -119,17 +120,20 @@ def blocks(rows: DataFrame, split_rows: int, rows_at_once: int) -> DataFrame:
     """(band, key, i, j, block, node, root): each row of a group in every pair (i, j) of blocks in which it has to be compared.
 
     A block has at most ``split_rows`` texts and, but for its last text, at most ``rows_at_once`` shingles.  Every two
-    blocks of a group are paired, unless both hold only texts of one and the same class.
+    blocks of a group are paired, unless both hold only texts of one and the same class.  A large group is first dealt
+    into parts by a hash of the text, and each part is cut into blocks class by class, so no group is one task.
     """
+    parts = F.ceil(F.col("rows") / F.lit(4 * split_rows))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts))
     weight = F.greatest(F.col("n") * split_rows, F.lit(rows_at_once).cast("long"))
-    before = F.sum(weight).over(Window.partitionBy(*_GROUP).orderBy("root", "node").rowsBetween(Window.unboundedPreceding, 0)) - weight
-    cut = rows.withColumn("block", F.floor(before / F.lit(split_rows * rows_at_once)).cast("long"))
-    of_block = Window.partitionBy(*_GROUP, "block")
-    pure = cut.withColumn("pure", F.min("root").over(of_block) == F.max("root").over(of_block))
-    of_root, own = Window.partitionBy(*_GROUP, "root"), F.when(F.col("pure"), F.col("block"))
-    ends = pure.withColumn("first", F.min(own).over(of_root)).withColumn("end", F.max(own).over(of_root)).withColumn("last", F.max("block").over(Window.partitionBy(*_GROUP)))
-    others = ends.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).filter("not pure or other < first or other > end")
-    return others.select(*_GROUP, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
+    before = F.sum(weight).over(Window.partitionBy(*_GROUP, "part").orderBy("root", "node").rowsBetween(Window.unboundedPreceding, 0)) - weight
+    cut = dealt.withColumn("block", F.floor(before / F.lit(split_rows * rows_at_once)) * F.lit(1 << 32) + F.col("part"))
+    cut = written(cut.select(*_GROUP, "block", "node", "root"), "blocks")
+    ends = cut.groupBy(*_GROUP, "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    own = written(ends.select(*_GROUP, "block", F.when(F.col("low") == F.col("high"), F.col("low")).alias("pure")), "block_ends")
+    other = own.select(*_GROUP, F.col("block").alias("other"), F.col("pure").alias("other_pure"))
+    pairs = own.join(other, _GROUP).filter("pure is null or other_pure is null or pure <> other_pure").drop("pure", "other_pure")
+    return cut.join(pairs, [*_GROUP, "block"]).select(*_GROUP, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
 
 
 class _Block:

@@ -19,6 +19,8 @@ from sieveline.storage import written
 TOKENIZER = "word_bpe_49k.json"
 END = 2
 LENGTH = 4096
+#: Pieces to a bucket in which ranks are given: with ids a piece takes up to 16 KB.
+_ROWS, _ROWS_WITH_IDS = 50_000, 2_000
 
 
 class Encoder:
@@ -194,7 +196,7 @@ def pack(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None
             made = {"sequence_id": pa.array(sequence[at] + rank - (keys[at] & ((1 << 40) - 1))), "offset": pa.array(offset[at])}
             yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
 
-    ranks = ranked(parts, max(16, total // 50_000))
+    ranks = ranked(parts, max(16, total // (_ROWS_WITH_IDS if with_ids else _ROWS)))
     return map_arrow(ranks, place, parts.schema.add("sequence_id", "long").add("offset", "long"))
 
 
