@@ -55,8 +55,12 @@ def junk_char_ratio(text: Column) -> Column:
 
 
 def script_counts(text: Column) -> dict[str, Column]:
-    """Characters of each script."""
-    return {lang: F.length(F.regexp_replace(text, f"[^{chars}]", "")) for lang, chars in SCRIPTS}
+    """Characters of each script.  All but Latin lie above U+0400: texts with nothing there are not looked through for each."""
+    other = text.rlike(r"[\u0400-\u06ff\u3040-\ud7af]")
+    counts = {lang: F.when(other, F.regexp_count(text, F.lit(f"[{chars}]"))).otherwise(F.lit(0)) for lang, chars in SCRIPTS if lang != "en"}
+    latin = dict(SCRIPTS)["en"]
+    counts["en"] = F.length(text) - F.length(F.regexp_replace(text, f"[{latin}]+", ""))
+    return {lang: counts[lang] for lang, _ in SCRIPTS}
 
 
 def script_language(counts: dict[str, Column]) -> tuple[Column, Column]:

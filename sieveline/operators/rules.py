@@ -75,22 +75,27 @@ class LangIdFilter(Operator):
     def __init__(self, keep_langs: list[str] | tuple[str, ...] = ("en",), min_confidence: float = 0.5, backend: str = "auto", model_path: str | None = None):
         self.keep_langs, self.min_confidence, self.backend, self.model_path = list(keep_langs), min_confidence, backend, model_path
 
-    def predicted(self, text: Column, ctx: Context) -> tuple[Column, Column]:
-        """Language and confidence: from the provider lang_model if there is one, else from scripts."""
+    def predicted(self, df: DataFrame, ctx: Context) -> DataFrame:
+        """``df`` with _lang and _conf of _text: from the provider lang_model if there is one, else from scripts.
+
+        Counts are a projection of their own, so that each is made once however often it is read.
+        """
         model = ctx.providers.get("lang_model")
         if model is not None and self.backend in ("auto", "fasttext"):
-            return model(F.regexp_replace(text, "\n", " "), self.model_path)
+            lang, confidence = model(F.regexp_replace("_text", "\n", " "), self.model_path)
+            return df.withColumns({"_lang": lang, "_conf": confidence})
         if self.backend == "fasttext":
             raise RuntimeError("backend fasttext needs a provider lang_model")
         if self.backend == "auto":
-            warnings.warn("no lang_model: languages are told by their scripts", stacklevel=3)
-        return X.script_language(X.script_counts(text))
+            warnings.warn("no lang_model: languages are told by their scripts", stacklevel=4)
+        counts = X.script_counts(F.col("_text"))
+        df = df.withColumns({f"_n_{k}": c for k, c in counts.items()})
+        lang, confidence = X.script_language({k: F.col(f"_n_{k}") for k in counts})
+        return df.withColumns({"_lang": lang, "_conf": confidence})
 
     def apply(self, df: DataFrame, ctx: Context, stage_no: int = 0) -> DataFrame:
         names = df.columns
-        df = df.withColumn("_text", X.stripped(F.col("text")))
-        lang, confidence = self.predicted(F.col("_text"), ctx)
-        df = df.withColumns({"_lang": lang, "_conf": confidence})
+        df = self.predicted(df.withColumn("_text", X.stripped(F.col("text"))), ctx)
         code = (
             F.when(F.col("_text") == "", F.lit("empty"))
             .when(F.col("_lang").isNull() | ~F.col("_lang").isin(self.keep_langs), F.lit("wrong_lang"))
