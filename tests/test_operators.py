@@ -11,6 +11,7 @@ from sieveline.functions import scalar as S
 from sieveline.graph import components
 from sieveline.operators.perception import collapsed
 from sieveline.operators.phash import first_match_dedup, first_wins
+from sieveline.operators.semantic import _plan, cosine_pairs
 from sieveline.plans.pipeline import Pipeline
 from sieveline.registry import build_op, get_op, list_ops, register_op
 from sieveline.schema import as_samples, meta_text
@@ -156,3 +157,18 @@ def test_a_hub_is_split_from_its_edges(spark):
     table = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     got = sorted(tuple(r) for r in join_unique(rows, table, ["u"], "n", rows.count(), parts=100).collect())
     assert got == sorted([(1, i, 0) for i in range(300)] + [(k, k, k) for k in range(2, 60)])
+
+
+@pytest.mark.parametrize("threshold", [0.95, 0.3, -1.0])
+def test_cosine_pairs_match_brute_force_in_cells(spark, threshold):
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(6, 8))
+    mat = np.concatenate([c + 0.15 * draw.normal(size=(40, 8)) for c in centres] + [np.zeros((2, 8))])
+    unit = mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
+    sim = unit @ unit.T
+    want = {(i, j) for i in range(len(mat)) for j in range(i + 1, len(mat)) if sim[i, j] >= threshold}
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(mat)], "row_idx long, vec array<double>")
+    got = [(r["i"], r["j"]) for r in cosine_pairs(frame, threshold, block_rows=6).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    cells = _plan(frame, threshold, 6, 512)[1]
+    assert len(cells) == 1 if threshold < 0 else sum(len(c[3]) for c in cells) < len(cells) ** 2 or threshold < 0.9
