@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm.chats import op3_chat_format
-from sieveline.llm.decontamination import op5_decontamination
+from sieveline.llm.decontamination import OP5_SQL, op5_decontamination
 from sieveline.llm.linededup import OP9_SQL, op9_line_dedup
 from sieveline.llm.language import op4_language
 from sieveline.llm.licenses import op2_licenses
@@ -102,4 +102,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": OP9_SQL, "license_phrases": PHRASES_SQL, "secret_counts": SECRETS_SQL, "quality_counts": QUALITY_SQL}
+    return {"op5_decontamination": OP5_SQL, "op9_line_dedup": OP9_SQL, "license_phrases": PHRASES_SQL, "secret_counts": SECRETS_SQL, "quality_counts": QUALITY_SQL}

@@ -253,3 +253,36 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, at_once: int = ITEMS_AT
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return contaminations(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+#: Every window of every document against every item, without fingerprints.
+OP5_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+), ip AS (
+  SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM iw WHERE len(w) > 0
+), iwt AS (
+  SELECT item_id, n, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS weight FROM ip GROUP BY ALL
+), tot AS (
+  SELECT item_id, n, k, sum(weight) AS total FROM iwt GROUP BY ALL
+), dp AS (
+  SELECT doc_id, w, len(w) AS nd, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM tot) WHERE len(w) >= k
+), ds AS (
+  SELECT doc_id, nd, k, i - 1 AS p, array_to_string(w[i:i + k - 1], ' ') AS g FROM dp
+), hits AS (
+  SELECT doc_id, item_id, nd, p, g, weight FROM ds JOIN iwt USING (k, g)
+), cand AS (
+  SELECT doc_id, item_id, any_value(nd) AS nd, any_value(total) AS total, least(any_value(n), any_value(nd)) - any_value(k) + 1 AS size, any_value(nd) - any_value(k) + 1 AS places
+  FROM hits JOIN tot USING (item_id) GROUP BY doc_id, item_id HAVING count(*) * 5 >= any_value(total) * 4
+), starts AS (
+  SELECT *, unnest(range(0, places - size + 1)) AS s FROM cand
+), shares AS (
+  SELECT doc_id, item_id, s, total, sum(least(weight, n)) AS share FROM (
+    SELECT st.doc_id, st.item_id, st.s, st.total, h.g, h.weight, count(*) AS n FROM starts st JOIN hits h ON h.doc_id = st.doc_id AND h.item_id = st.item_id AND h.p >= st.s AND h.p < st.s + st.size GROUP BY ALL
+  ) GROUP BY ALL
+)
+SELECT doc_id, item_id, max(share) / any_value(total) AS similarity, arg_min(s, s - share * 1000000000) AS first_word
+FROM shares WHERE share * 5 >= total * 4 GROUP BY doc_id, item_id
+"""
