@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import map_arrow, map_rows
 from sieveline.llm.simhash import majority, shingle_hashes
+from sieveline.llm.tables import documents
 from sieveline.storage import written
 
 SHINGLE, RADIUS, BLOCKS = 5, 23, 8
@@ -251,7 +252,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, at_once: int = ITEMS_AT
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     return contaminations(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

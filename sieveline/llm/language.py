@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import map_rows
+from sieveline.llm.tables import documents
 
 UNKNOWN = "und"
 #: Language families by language code; a code that is not here is a family of its own.
@@ -186,7 +187,7 @@ def fold_of(doc_id):
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = learn(docs.filter(fold_of("doc_id") != 0))
     found = identify(docs, model)
     return found.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score")

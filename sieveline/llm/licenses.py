@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import map_rows
+from sieveline.llm.tables import documents
 
 THRESHOLD = 0.9
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -208,6 +209,6 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, phr
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = scan(documents(spark, sf_dir))
     joined = lambda c: F.array_join(c, ",").alias(c)
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", joined("base_labels"), joined("labels"), "score")

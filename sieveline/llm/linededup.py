@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import ASCII_LOWER, columns_of, map_arrow, map_rows, unused
 from sieveline.llm.cuckoo import CuckooFilter
+from sieveline.llm.tables import documents
 from sieveline.skew import join_unique
 from sieveline.storage import written
 
@@ -241,7 +242,7 @@ def deduplicate_lines(docs: DataFrame) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return deduplicate_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

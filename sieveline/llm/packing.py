@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import map_arrow, map_rows
+from sieveline.llm.tables import documents
 from sieveline.storage import written
 
 TOKENIZER = "word_bpe_49k.json"
@@ -201,5 +202,5 @@ def pack(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     return pack(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

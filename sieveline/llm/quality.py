@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline.llm.tables import documents
+
 WHITE = " \t\n\x0b\f\r"
 _GAPS = r"[\x20\x09-\x0D]+"
 BUCKETS = 10_000
@@ -151,6 +153,6 @@ def rate(docs: DataFrame, model: RatioModel, least: float = LEAST_RATIO) -> Data
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return rate(docs, fit(docs, labels.filter("quality = 1"))).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import map_rows
+from sieveline.llm.tables import documents
 
 #: Kinds in the order in which spans of one start are listed; the first three are patterns alone.
 KINDS = ("assign", "access", "hex", "signed_token", "key_block", "encoded_key", "hex_key")
@@ -277,6 +278,6 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = scan(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", count("assign"), count("access"), count("hex"), "base_sha256", "spans")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sieveline.graph import components
 from sieveline.llm.arrow import ASCII_LOWER, map_arrow, map_rows, unused
+from sieveline.llm.tables import documents
 from sieveline.skew import join_unique
 from sieveline.storage import written
 
@@ -277,5 +278,5 @@ def hex_fingerprint(fp):
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     return near_duplicates(docs, 3, 3).select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")

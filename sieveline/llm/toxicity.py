@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.arrow import map_arrow, map_rows
+from sieveline.llm.tables import documents
 from sieveline.storage import written
 
 THRESHOLD = 0.7
@@ -242,13 +243,13 @@ def fold_of(doc_id):
 
 def learn_from_tables(spark: SparkSession, sf_dir: str) -> Lexicon:
     """The lexicon that op10 and the pipeline use: labels of rows that are not held out, texts of all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     return learn(docs.filter(fold_of("doc_id") != 1), labels.filter(fold_of("doc_id") != 1))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = learn_from_tables(spark, sf_dir)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = score(docs, lexicon)
     return scored.select("doc_id", (fold_of("doc_id") == 1).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
