@@ -23,7 +23,7 @@ from sieveline.plans.pipeline import Pipeline
 from sieveline.plans.prepare import distinct_images, synthetic, synthetic_images
 from sieveline.registry import build_op
 from sieveline.schema import as_samples, meta_text
-from sieveline.sources.images import NoisyImages, header_sizes
+from sieveline.sources.images import PICTURES_AT_ONCE, NoisyImages, header_sizes
 from sieveline.sources.results import delta_table
 from sieveline.storage import balanced, written
 
@@ -334,7 +334,7 @@ def image_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "supplier").count()
     clean = synthetic(spark, n)
     drawn = synthetic_images(clean)
-    pictures = written(drawn.select(F.concat(F.lit("/"), "name").alias("image_file"), "width", "height", F.lit(3).alias("n_channels"), F.col("rgb").alias("data")), "pictures")
+    pictures = written(drawn.select(F.concat(F.lit("/"), "name").alias("image_file"), "width", "height", F.lit(3).alias("n_channels"), F.col("rgb").alias("data")), "pictures", PICTURES_AT_ONCE)
     hook = NoisyImages(Context(spark, images=pictures))
     absolute = clean.withColumn("image_path", F.concat(F.lit("/"), "image_path"))
     rows = N.inject(absolute, {"duplicate_near": max(1, n // 10), "lowquality_image": max(1, n // 5)}, SEED, hook)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sieveline.plans.order import first_rows, order_key, renumbered
 from sieveline.plans.sft import extract_text
 from sieveline.schema import as_samples
+from sieveline.sources.images import PICTURES_AT_ONCE
 
 
 def prepared(raw: DataFrame, n: int, seed: int = 42, source: str = "raw", existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -85,7 +86,7 @@ def synthetic_images(samples: DataFrame, size: int = 256) -> DataFrame:
 
         import pandas as pd
 
-        for b in batches:
+        for b in (whole.iloc[at : at + PICTURES_AT_ONCE] for whole in batches for at in range(0, len(whole), PICTURES_AT_ONCE)):
             rgb = []
             for i, m in zip(b["row_idx"], b["meta"], strict=True):
                 m = {k: json.loads(v) for k, v in dict(m).items()}

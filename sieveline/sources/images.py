@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from sieveline.context import Context
 from sieveline.plans.order import order_key
-from sieveline.storage import written
+from sieveline.storage import bound_batches, written
 
 #: Fixed value: files below this size are no images.
 LEAST_BYTES = 1024
+#: Rows with pixels that are made, or decoded from a table of our own, at a time.
+PICTURES_AT_ONCE = 64
 
 
 def header_size(data: bytes) -> tuple[int, int] | None:
@@ -93,6 +95,22 @@ def with_sizes(df: DataFrame, ctx: Context) -> DataFrame:
     return df.join(sizes, ctx.resolve_image() == F.col("_file"), "left").drop("_file")
 
 
+def picked(table: DataFrame, names: DataFrame, at_once: int = 500_000) -> DataFrame:
+    """The inner join of ``table`` with ``names`` by image_file, whatever the pixels in ``table`` weigh: they stay where they are.
+
+    ``names`` is broadcast, at most about ``at_once`` rows at a time; with more, ``table`` is read as often as that takes.
+    """
+    bound_batches(table.sparkSession)
+    names = written(names.filter("image_file is not null"), "names")
+    parts = max(1, -(-names.count() // at_once))
+    out = None
+    for i in range(parts):
+        own = names.filter(F.pmod(F.xxhash64(*names.columns), F.lit(parts)) == i) if parts > 1 else names
+        part = table.join(F.broadcast(own), "image_file")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def with_measure(df: DataFrame, ctx: Context, name: str, measure: Callable, kind: str) -> DataFrame:
     """``df`` with ``measure`` over the pixels of its image, null without readable image.
 
@@ -100,10 +118,11 @@ def with_measure(df: DataFrame, ctx: Context, name: str, measure: Callable, kind
     every image below the folder; where a run looks at few of them, give their pixels in the context instead.
     """
     table = ctx.images if ctx.images is not None else pixel_table(ctx, ctx.image_root)
-    wanted = df.filter("keep").select(ctx.resolve_image().alias("image_file")).filter("image_file is not null").distinct()
+    df = written(df, "measured")  # both sides of the join read it
+    wanted = df.filter("keep").select(ctx.resolve_image().alias("image_file")).distinct()
     run = F.pandas_udf(measure, kind)
-    found = table.join(wanted, "image_file", "left_semi").filter("width > 0")
-    found = found.select(F.col("image_file").alias("_file"), run("width", "height", "n_channels", "data").alias(name))
+    found = picked(table.filter("width > 0"), wanted)
+    found = written(found.select(F.col("image_file").alias("_file"), run("width", "height", "n_channels", "data").alias(name)), "measures")
     return df.join(found, ctx.resolve_image() == F.col("_file"), "left").drop("_file")
 
 
@@ -273,12 +292,11 @@ class NoisyImages:
         self.pixels = ctx.images if ctx.images is not None else pixel_table(ctx, ctx.image_root)
 
     def __call__(self, rows: DataFrame, kind: str, seed: int) -> DataFrame:
-        found = self.pixels.filter("width > 0").select(F.col("image_file").alias("_file"), "width", "height", "n_channels", "data")
-        joined = rows.join(found, self.ctx.resolve_image() == F.col("_file"))
-        source = joined.select("row_idx", "width", "height", "n_channels", "data", order_key(seed + len(kind)).alias("key"))
+        names = rows.select(self.ctx.resolve_image().alias("image_file"), "row_idx", order_key(seed + len(kind)).alias("key"))
+        source = picked(self.pixels.filter("width > 0"), names).select("row_idx", "width", "height", "n_channels", "data", "key")
 
         def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
+            for b in (whole.iloc[at : at + PICTURES_AT_ONCE] for whole in batches for at in range(0, len(whole), PICTURES_AT_ONCE)):
                 out = []
                 for i, w, h, c, data, key in zip(b["row_idx"], b["width"], b["height"], b["n_channels"], b["data"], b["key"], strict=True):
                     p = np.frombuffer(data, np.uint8).reshape(h, w, c)
@@ -287,7 +305,7 @@ class NoisyImages:
                 yield pd.DataFrame(out, columns=["row_idx", "width", "height", "n_channels", "data", "_mode"])
 
         schema = "row_idx long, width int, height int, n_channels int, data binary, _mode string"
-        made = written(source.mapInPandas(make, schema), "noisy_images")
+        made = written(source.mapInPandas(make, schema), "noisy_images", PICTURES_AT_ONCE)
         path = F.concat(F.lit(f"/{self.folder.strip('/')}/{kind}/"), F.col("row_idx").cast("string"), F.lit(".png"))
         self.pixels = self.pixels.unionByName(made.select(path.alias("image_file"), "width", "height", "n_channels", "data"))
         return rows.join(made.select("row_idx", "_mode"), "row_idx").withColumn("image_path", path).select(*rows.columns, "_mode")

@@ -34,10 +34,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: computed once, lineage cut, survives lost executors."""
+def written(df: DataFrame, name: str = "table", group_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: computed once, lineage cut, survives lost executors.
+
+    Readers decode up to 4,096 rows of a row group at once; ``group_rows`` bounds the rows of a group, for rows of many bytes.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.write.option("compression", "zstd")
+    (out.option("parquet.block.row.count.limit", group_rows) if group_rows else out).parquet(path)
     _MADE.append(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._written = path
@@ -86,6 +90,18 @@ def balanced(df: DataFrame, per_task: int = 32 << 20) -> DataFrame:
     return df.repartition(cores) if size <= per_task * cores else df
 
 
+#: Bytes of an Arrow batch of rows with many bytes, where the session does not say.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches are bounded in bytes, unless the session says otherwise: 10,000 rows of pixels are more than a worker holds."""
+    unset = str((1 << 31) - 1)
+    if spark.conf.get(_BATCH_SETTING, unset) in (unset, "-1"):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
     """Write text, piece by piece, to one file on any file system that the session knows; it replaces what is there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -196,3 +196,18 @@ def test_serving_statistics(spark):
     assert (one["ok"], one["failed"], one["wall"], one["req_per_s"], one["out_tok_per_s"]) == (2, 1, 5.0, 0.4, 8.0)
     assert (one["ttft_p50"], one["ttft_p99"], round(one["tpot_p50"], 6), one["mean_out_tokens"]) == (0.1, 0.3, 0.02, 20.0)
     assert (two["ok"], two["failed"], two["req_per_s"], two["tpot_p50"]) == (0, 1, None, None)
+
+
+def test_pixels_are_read_in_small_groups_and_not_shuffled(spark):
+    import pyarrow.parquet as pq
+
+    drawn = synthetic_images(synthetic(spark, 300), 8).coalesce(1)
+    table = written(drawn.select(F.col("name").alias("image_file"), F.col("rgb").alias("data")), "pictures", images.PICTURES_AT_ONCE)
+    groups = [m.row_group(i).num_rows for f in table.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert sum(groups) == 300 and max(groups) <= images.PICTURES_AT_ONCE
+    names = table.select("image_file", F.length("image_file").alias("n")).limit(40)
+    for at_once in (500_000, 7):
+        found = images.picked(table, names, at_once)
+        assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r[0] for r in found.select("image_file").collect()) == sorted(r[0] for r in names.collect())
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(16 << 20)
