@@ -38,14 +38,18 @@ def matching_pairs(nodes: DataFrame, threshold: int, text_threshold: float | Non
     well; those keys make smaller buckets with the same pairs.
     """
     keyed = block_keys(F.col("h"), 5, 2) if threshold <= 3 else block_keys(F.col("h"), 4, 1)
-    dealt = nodes.select("*", F.explode(keyed).alias("key"))
-    a, b = (dealt.select(*(F.col(c).alias(f"{c}_{s}" if c != "key" else "key") for c in dealt.columns)) for s in "ab")
-    pairs = a.join(b, "key").filter("row_idx_a < row_idx_b").filter(hamming(F.col("h_a"), F.col("h_b")) <= threshold)
+    dealt = nodes.select("row_idx", "h", F.explode(keyed).alias("key"))
+    a, b = (dealt.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("row_idx", "h"))) for s in "ab")
+    # sizes are estimated from packed files and leave out what explode adds: without the hint, all keys may be broadcast
+    pairs = a.join(b.hint("merge"), "key").filter("row_idx_a < row_idx_b").filter(hamming(F.col("h_a"), F.col("h_b")) <= threshold)
     band = first_shared_band(F.col("h_a"), F.col("h_b"))
-    pairs = pairs.withColumn("band", band).filter("band is not null")
+    pairs = pairs.select(F.col("row_idx_a").alias("i"), F.col("row_idx_b").alias("j"), band.alias("band")).filter("band is not null").distinct()
     if text_threshold is not None:
-        pairs = pairs.filter(jaccard(F.col("toks_a"), F.col("toks_b")) >= text_threshold)
-    return pairs.select(F.col("row_idx_a").alias("i"), F.col("row_idx_b").alias("j"), "band").distinct()
+        # only rows of pairs need their tokens, and each pair once
+        toks = nodes.select("row_idx", "toks")
+        pairs = pairs.join(toks.select(F.col("row_idx").alias("i"), F.col("toks").alias("ti")).hint("merge"), "i").join(toks.select(F.col("row_idx").alias("j"), F.col("toks").alias("tj")).hint("merge"), "j")
+        pairs = pairs.filter(jaccard(F.col("ti"), F.col("tj")) >= text_threshold)
+    return pairs.select("i", "j", "band")
 
 
 def first_wins(edges: DataFrame, at_once: int = 1 << 17) -> DataFrame:
@@ -100,14 +104,14 @@ def first_match_dedup(rows: DataFrame, threshold: int = 3, text_threshold: float
     groups = rows.groupBy(*same).agg(F.min("row_idx").alias("first"))
     nodes = written(groups.select(F.col("first").alias("row_idx"), *same), "nodes")
     edges = written(matching_pairs(nodes, threshold, text_threshold), "pairs")
-    lost = first_wins(edges).filter("not kept").select(F.col("j").alias("row_idx"))
+    lost = written(first_wins(edges).filter("not kept").select(F.col("j").alias("row_idx")), "lost")
     both = edges.select("i", "j", "band").unionByName(edges.select(F.col("j").alias("i"), F.col("i").alias("j"), "band"))
-    kept_side = both.join(lost.withColumnRenamed("row_idx", "i"), "i", "left_anti")
-    members = rows.join(nodes.withColumnRenamed("row_idx", "first"), same).select("row_idx", "first")
-    stays = members.filter("row_idx = first").join(lost, "row_idx", "left_anti").select("first")
+    kept_side = both.join(lost.withColumnRenamed("row_idx", "i").hint("merge"), "i", "left_anti")
+    members = written(rows.join(nodes.withColumnRenamed("row_idx", "first").hint("merge"), same).select("row_idx", "first"), "members")
+    stays = members.filter("row_idx = first").join(lost.hint("merge"), "row_idx", "left_anti").select("first")
     # copies of a row that stays go with it; rows whose first goes look among the kept matches before them
-    own = members.join(stays, "first", "left_semi").filter("row_idx <> first").select("row_idx", F.lit(0).alias("band"), F.col("first").alias("i"))
-    other = members.join(lost.withColumnRenamed("row_idx", "first"), "first", "left_semi").join(kept_side.withColumnRenamed("j", "first"), "first").filter("i < row_idx").select("row_idx", "band", "i")
+    own = members.join(stays.hint("merge"), "first", "left_semi").filter("row_idx <> first").select("row_idx", F.lit(0).alias("band"), F.col("first").alias("i"))
+    other = members.join(lost.withColumnRenamed("row_idx", "first").hint("merge"), "first", "left_semi").join(kept_side.withColumnRenamed("j", "first").hint("merge"), "first").filter("i < row_idx").select("row_idx", "band", "i")
     return own.unionByName(other).groupBy("row_idx").agg(F.min(F.struct("band", "i"))["i"].alias("duplicate_of_idx"))
 
 

@@ -10,7 +10,7 @@ from sieveline.context import Context
 from sieveline.functions import scalar as S
 from sieveline.graph import components
 from sieveline.operators.perception import collapsed
-from sieveline.operators.phash import first_match_dedup, first_wins
+from sieveline.operators.phash import first_match_dedup, first_wins, matching_pairs
 from sieveline.operators.semantic import _plan, cosine_pairs
 from sieveline.plans.pipeline import Pipeline
 from sieveline.registry import build_op, get_op, list_ops, register_op
@@ -172,3 +172,12 @@ def test_cosine_pairs_match_brute_force_in_cells(spark, threshold):
     assert len(got) == len(set(got)) and set(got) == want
     cells = _plan(frame, threshold, 6, 512)[1]
     assert len(cells) == 1 if threshold < 0 else sum(len(c[3]) for c in cells) < len(cells) ** 2 or threshold < 0.9
+
+
+def test_hashes_are_not_broadcast(spark):
+    # their files are small, what is made of them is not
+    nodes = spark.createDataFrame([(i, i // 2 * 1023, ["a", f"b{i % 3}"]) for i in range(40)], "row_idx long, h long, toks array<string>")
+    plan = matching_pairs(nodes, 3, 0.9)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    dealt = [x for x in plan.splitlines() if "Generate explode" in x]
+    assert dealt and not any("toks" in x for x in dealt)
