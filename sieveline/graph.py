@@ -44,11 +44,14 @@ def least_of_class(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes, nodes[label]
 
 
-def _forest(at_once: int):
-    """Edges taken ``at_once`` at a time, with each node linked to the least of its class among them instead."""
+def _forest(at_once: int, most: int | None = None):
+    """Edges taken ``at_once`` at a time, with each node linked to the least of its class among them instead.
+
+    What is made is taken together with the next edges, until it has more than ``most`` edges.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        held, count, kept = [], 0, 0
 
         def made() -> pa.RecordBatch:
             nodes, least = least_of_class(*(np.concatenate([h[k] for h in held]) for k in (0, 1)))
@@ -58,9 +61,14 @@ def _forest(at_once: int):
         for b in batches:
             held.append((b.column("u").to_numpy(), b.column("v").to_numpy()))
             count += b.num_rows
-            if count >= at_once:
-                yield made()
-                held, count = [], 0
+            if count >= at_once + kept:
+                forest = made()
+                kept = forest.num_rows
+                if kept > (at_once // 2 if most is None else most):
+                    yield forest
+                    held, count, kept = [], 0, 0
+                else:
+                    held, count = [(forest.column(0).to_numpy(), forest.column(1).to_numpy())], kept
         if count:
             yield made()
 
@@ -81,7 +89,7 @@ def components(edges: DataFrame, at_once: int = 1 << 17) -> DataFrame:
     edges = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u is not null and v is not null")
     loops = edges.filter("u = v").select("u").distinct()
     schema = "u long, v long"
-    now = written(edges.filter("u <> v").mapInArrow(_forest(at_once), schema), "edges")
+    now = written(edges.filter("u <> v").mapInArrow(_forest(at_once, 8 * at_once), schema), "edges")
     if now.count() <= at_once:
         now = written(now.coalesce(1).mapInArrow(_forest(1 << 62), schema), "edges")
     else:
