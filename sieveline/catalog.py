@@ -63,14 +63,14 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.dealt_sources(clean, noise_counts(clean.count()), SEED)
 
 
-def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixed(spark: SparkSession, sf_dir: str, write: bool = True) -> DataFrame:
     clean = clean_samples(spark, sf_dir)
-    return N.inject(clean, noise_counts(clean.count()), SEED)
+    return N.inject(clean, noise_counts(clean.count()), SEED, write=write)
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written once: what reads it may filter or aggregate as it likes."""
-    return written(Pipeline({"ops": STEPS}).transform(mixed(spark, sf_dir), Context(spark)).drop("conversations"), "annotated")
+    """Written once, without the texts: what reads it may filter or aggregate as it likes."""
+    return written(Pipeline({"ops": STEPS}).transform(mixed(spark, sf_dir, write=False), Context(spark)).drop("conversations", "text"), "annotated")
 
 
 def long(*names: str) -> list:

@@ -22,9 +22,16 @@ SCRIPTS = (
 )
 
 
+#: The characters of SPACE.
+_SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def stripped(text: Column) -> Column:
-    """The text without white space at both ends; null counts as empty."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), f"^[{SPACE}]+|[{SPACE}]+$", "")
+    """The text without white space at both ends; null counts as empty.
+
+    Only the ends are looked at: a pattern for the end of a text is tried at every space in it, each time the text is read.
+    """
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACES))
 
 
 def words(text: Column) -> Column:

@@ -103,11 +103,12 @@ def foreign(src: DataFrame, seed: int) -> DataFrame:
     return noisy(rows.withColumn("text", F.get(F.array(*map(F.lit, FOREIGN)), pick.cast("int"))), "wrong_lang")
 
 
-def inject(clean: DataFrame, counts: dict[str, int], seed: int = 42, images=None) -> DataFrame:
+def inject(clean: DataFrame, counts: dict[str, int], seed: int = 42, images=None, write: bool = True) -> DataFrame:
     """``clean`` samples with labelled noise added, in shuffled order (row_idx is anew).
 
     ``images`` makes the two classes of changed images: (rows, class, seed) -> rows with image_path replaced,
     without those that failed, with any column _mode for how an image was degraded; without it these get no rows.
+    Without ``write`` the rows are not written, for a caller that reads them once.
     """
     first = F.when(F.map_contains_key("meta", F.lit("is_noise")), F.col("meta")).otherwise(with_entry(F.col("meta"), "is_noise", F.lit("false")))
     clean = clean.withColumn("meta", first)
@@ -123,7 +124,8 @@ def inject(clean: DataFrame, counts: dict[str, int], seed: int = 42, images=None
     for i, p in enumerate(parts[1:], 1):
         mixed = mixed.unionByName(p.withColumn("_part", F.lit(i)).select(*names, "_part"))
     order = F.pmod(order_key(seed + 3) + F.col("_part").cast("long") * 1566083941, F.lit(4294967291))
-    return written(renumbered(mixed.withColumn("_order", order)), "mixed")
+    made = renumbered(mixed.withColumn("_order", order))
+    return written(made, "mixed") if write else made
 
 
 def composition(samples: DataFrame) -> DataFrame:

@@ -159,3 +159,20 @@ def test_narrow_pipelines_run_on_streams(spark, tmp_path):
     assert {tuple(r) for r in spark.sql("select * from annotated").collect()} == {("a", True), ("b", False)}
     with pytest.raises(ValueError):
         transform_stream(stream, Pipeline({"ops": [{"name": "phash_dedup"}]}), Context(spark))
+
+
+def test_annotated_samples_are_measured_and_written_once(spark):
+    from sieveline import catalog
+    from sieveline.functions.text import stripped
+    from sieveline.storage import _MADE, mark
+
+    since = mark()
+    rows = catalog.annotated(spark, "/root/testdata/sf0.001")
+    assert "text" not in rows.columns
+    sft.groups(rows)
+    names = [p.rpartition("/")[2].split("-")[0] for p in _MADE[since:]]
+    assert names == ["sources", "annotated"]
+    ends = "\t\x0b\x1c\x85\xa0   　"
+    data = spark.createDataFrame([(ends + "a 　 b\n" + ends,), (ends,), ("​x\x00",), (None,)], "t string")
+    assert [r[0] for r in data.select(stripped(F.col("t"))).collect()] == ["a 　 b", "", "​x\x00", ""]
+    assert "regexp_replace" not in data.select(stripped(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
