@@ -67,7 +67,8 @@ def groups(annotated: DataFrame, existing: DataFrame | None = None, seed: int =
     Fails if nothing was kept.
     """
     pool = annotated.join(existing.select("image_path").distinct(), "image_path", "left_semi").select(*annotated.columns) if existing is not None else annotated
-    pool = written(pool, "pool")
+    if "_written" not in vars(pool):  # what is written is read again, not written anew
+        pool = written(pool, "pool")
     kept = pool.filter("keep")
     n = kept.count()
     if not n:
