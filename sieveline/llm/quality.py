@@ -81,7 +81,8 @@ def _grams(w: Column) -> Column:
 
 
 def _bucket(*parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*(F.right(p, F.lit(ENDING)) for p in parts)), F.lit(BUCKETS)).cast("int")
+    """The bucket of an n-gram of word endings."""
+    return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -106,6 +107,7 @@ def fit(docs: DataFrame, target: DataFrame, broadcast_ids: int = BROADCAST_IDS)
     few = trusted.limit(broadcast_ids + 1).count() <= broadcast_ids
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted) if few else trusted.hint("shuffle_hash"), "doc_id", "left")
     pairs = marked.select("trusted", F.inline(_grams(words(F.col("text")))).alias("a", "b"))
+    pairs = pairs.select("trusted", *(F.right(c, F.lit(ENDING)).alias(c) for c in ("a", "b")))
     grams = pairs.select("trusted", F.explode(F.array(_bucket(F.col("a")), F.when(F.col("b").isNotNull(), _bucket(F.col("a"), F.col("b"))))).alias("bucket")).filter("bucket is not null")
     counts = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count("trusted").alias("m"))
     raw, own = [1.0] * BUCKETS, [1.0] * BUCKETS
@@ -120,6 +122,23 @@ def fit(docs: DataFrame, target: DataFrame, broadcast_ids: int = BROADCAST_IDS)
     return RatioModel(tuple(round(log(a / b) - shift, 6) for a, b in zip(own, raw, strict=True)))
 
 
+def _mean_ratio(ends: Column, model: RatioModel) -> Column:
+    """The mean log ratio of the n-grams of an array of word endings; null for none.
+
+    Summed up within the row: exploded and grouped again, each row would pass a shuffle, and results would be in as
+    many files as that has parts.
+    """
+    table = model.column()
+
+    def both(a: Column, b: Column) -> Column:
+        two = F.when(b.isNotNull(), F.get(table, _bucket(a, b)))
+        return F.get(table, _bucket(a)) + F.coalesce(two, F.lit(0.0))
+
+    n = F.size(ends)
+    each = F.zip_with(ends, F.slice(ends, 2, F.greatest(n, F.lit(1))), both)
+    return F.when(n > 0, F.aggregate(each, F.lit(0.0), lambda total, x: total + x) / (2 * n - 1))
+
+
 def rate(docs: DataFrame, model: RatioModel, least: float = LEAST_RATIO) -> DataFrame:
     """Counts and verdict of every row of ``docs`` (doc_id, text).
 
@@ -130,26 +149,20 @@ def rate(docs: DataFrame, model: RatioModel, least: float = LEAST_RATIO) -> Data
     of other names are not looked at; an empty table gives an empty table.
     """
     text, w = F.col("text"), F.col("w")
-    counted = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", words(text).alias("w"))
+    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", words(text).alias("w"))
     counted = with_repeated_words(counted, "w", "n_repeat_words").select(
-        "row",
         "doc_id",
-        "w",
+        F.transform(w, lambda x: F.right(x, F.lit(ENDING))).alias("ends"),
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         repeated_lines(text).alias("n_dup_lines"),
         "n_repeat_words",
     )
-    names = ["row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    table = model.column()
-    grams = counted.select(*names, F.inline_outer(_grams(w)).alias("a", "b"))
-    one = F.get(table, _bucket(F.col("a")))
-    two = F.when(F.col("b").isNotNull(), F.get(table, _bucket(F.col("a"), F.col("b"))))
-    sums = grams.groupBy(*names).agg((F.sum(one + F.coalesce(two, F.lit(0.0))) / F.nullif(F.count("a") + F.count("b"), F.lit(0))).alias("ratio"))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    sums = counted.select(*names, _mean_ratio(F.col("ends"), model).alias("ratio"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rated = sums.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.round("ratio", 9) >= least, F.lit(False)))
-    return rated.drop("row")
+    return sums.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.round("ratio", 9) >= least, F.lit(False)))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

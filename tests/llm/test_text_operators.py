@@ -84,6 +84,15 @@ def test_quality_ratio_matches_brute_force(spark):
         assert (r["ratio"] is None) if not t else abs(r["ratio"] - np.mean([logs[at[g]] for g in grams(t)])) < 1e-5
 
 
+def test_quality_is_rated_row_by_row(spark):
+    # a shuffle by row gives as many files of results as it has parts, however small they are
+    frame = spark.createDataFrame([(i, f"word{i} " * 9 + "other words here") for i in range(40)], "doc_id long, text string").repartition(3)
+    rated = quality.rate(frame, quality.fit(frame, frame.filter("doc_id < 9")))
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
+    assert rated.rdd.getNumPartitions() == 3 and all(r["ratio"] is not None for r in rated.collect())
+
+
 def test_quality_ratio_tells_junk(spark):
     texts = [" ".join(f"{w}ing" for w in words(3000, i)) for i in range(8)] + [" ".join(f"{w}###" for w in words(3000, i)) for i in range(8)]
     frame = docs(spark, texts)
