@@ -52,7 +52,7 @@ class TextQualityFilter(Operator):
     def measured(self, df: DataFrame) -> DataFrame:
         """``df`` with _n_chars, _rep and _junk."""
         df = df.withColumn("_text", X.stripped(F.col("text")))
-        df = df.withColumn("_words", X.words(F.col("_text")))
+        df = df.withColumn("_words", X.word_hashes(F.col("_text")))
         return df.withColumns({"_n_chars": F.length("_text"), "_rep": X.repeated_ngram_ratio(F.col("_words"), self.ngram), "_junk": X.junk_char_ratio(F.col("_text"))})
 
     def code(self) -> Column:
@@ -78,7 +78,8 @@ class LangIdFilter(Operator):
     def predicted(self, df: DataFrame, ctx: Context) -> DataFrame:
         """``df`` with _lang and _conf of _text: from the provider lang_model if there is one, else from scripts.
 
-        Counts are a projection of their own, so that each is made once however often it is read.
+        Counts are a projection of their own, so that each is made once however often it is read; dropped rows, of
+        which nothing is recorded, are not counted.
         """
         model = ctx.providers.get("lang_model")
         if model is not None and self.backend in ("auto", "fasttext"):
@@ -88,7 +89,7 @@ class LangIdFilter(Operator):
             raise RuntimeError("backend fasttext needs a provider lang_model")
         if self.backend == "auto":
             warnings.warn("no lang_model: languages are told by their scripts", stacklevel=4)
-        counts = X.script_counts(F.col("_text"))
+        counts = X.script_counts(F.when(F.col("keep"), F.col("_text")))
         df = df.withColumns({f"_n_{k}": c for k, c in counts.items()})
         lang, confidence = X.script_language({k: F.col(f"_n_{k}") for k in counts})
         return df.withColumns({"_lang": lang, "_conf": confidence})

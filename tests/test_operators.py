@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sieveline.context import Context
 from sieveline.functions import scalar as S
+from sieveline.functions.text import junk_char_ratio, repeated_ngram_ratio, word_hashes, words
 from sieveline.graph import components
 from sieveline.operators.perception import collapsed
 from sieveline.operators.phash import first_match_dedup, first_wins, matching_pairs
@@ -216,3 +217,17 @@ def test_vectors_are_shuffled_once(spark):
     for out in (cosine_pairs(frame, 0.5, 8), semantic.linked(frame, 0.5, None, 8)):
         assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() < 120 * 2 * 2 * spark.sparkContext.defaultParallelism < 120 * 119 // 2
+
+
+def test_texts_are_measured_once_and_where_needed(spark):
+    # dropped rows are not looked through for scripts, good ASCII not for junk, words not five at a time
+    texts = ["a^b", "x ^ y\x7f\x00", "plain, ASCII_text (all) good ~ `q`", "é ü 漢字 ‽ — ok", "\x1c\x1f\x85 \u2028", "", "☃" * 4, "one two three four five " * 3]
+    frame = rows(spark, texts)
+    got = [r["j"] for r in frame.select(junk_char_ratio(F.col("text")).alias("j"), "row_idx").orderBy("row_idx").collect()]
+    good = lambda c: c.isalpha() or c.isnumeric() or c.isspace() or c in ".,!?;:'\"()[]{}-–—/%$&@#*+=<>~`|\\_"
+    assert got == [sum(not good(c) for c in t) / len(t) if t else 1.0 for t in texts]
+    both = frame.select(repeated_ngram_ratio(words(F.col("text"))).alias("a"), repeated_ngram_ratio(word_hashes(F.col("text"))).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in both) and max(r["a"] for r in both) == 6 / 11
+    op = build_op("lang_id_filter", {"backend": "heuristic"})
+    half = frame.withColumn("keep", F.col("row_idx") % 2 == 0).withColumn("_text", F.col("text"))
+    assert all((r["_conf"] is None) == (not r["keep"]) for r in op.predicted(half, Context(spark)).collect())
