@@ -63,14 +63,15 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.dealt_sources(clean, noise_counts(clean.count()), SEED)
 
 
-def mixed(spark: SparkSession, sf_dir: str, write: bool = True) -> DataFrame:
+def mixed(spark: SparkSession, sf_dir: str, write: bool = True, each=None) -> DataFrame:
     clean = clean_samples(spark, sf_dir)
-    return N.inject(clean, noise_counts(clean.count()), SEED, write=write)
+    return N.inject(clean, noise_counts(clean.count()), SEED, write=write, each=each)
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written once, without the texts: what reads it may filter or aggregate as it likes."""
-    return written(Pipeline({"ops": STEPS}).transform(mixed(spark, sf_dir, write=False), Context(spark)).drop("conversations", "text"), "annotated")
+    """Written once, without the texts, which are not shuffled either: what reads it may filter or aggregate as it likes."""
+    ops, ctx = Pipeline({"ops": STEPS}), Context(spark)
+    return written(mixed(spark, sf_dir, write=False, each=lambda rows: ops.transform(rows, ctx).drop("conversations", "text")), "annotated")
 
 
 def long(*names: str) -> list:

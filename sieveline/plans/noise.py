@@ -38,8 +38,8 @@ def plan_counts(n_clean: int, scale: float = 1.0, counts: dict[str, int] | None
     return counts
 
 
-def dealt_sources(clean: DataFrame, counts: dict[str, int], seed: int) -> DataFrame:
-    """The rows picked as sources, with _class and _place within the class: disjoint runs of one shuffled order.
+def dealt_ranks(clean: DataFrame, counts: dict[str, int], seed: int) -> DataFrame:
+    """(_row, _class, _place) of the rows picked as sources: disjoint runs of one shuffled order.
 
     Only as many rows as are needed are ranked, by ranges of the order.
     """
@@ -51,8 +51,25 @@ def dealt_sources(clean: DataFrame, counts: dict[str, int], seed: int) -> DataFr
         kind = F.when(hit, F.lit(name)) if kind is None else kind.when(hit, F.lit(name))
         place = F.when(hit, F.col("_rank") - low) if place is None else place.when(hit, F.col("_rank") - low)
         low += n
-    ranked = ranked.select("_row", kind.alias("_class"), place.alias("_place"))
-    return clean.join(ranked, F.col("row_idx") == F.col("_row")).drop("_row")
+    return ranked.select("_row", kind.alias("_class"), place.alias("_place"))
+
+
+def dealt_sources(clean: DataFrame, counts: dict[str, int], seed: int) -> DataFrame:
+    """The rows picked as sources, with _class and _place within the class."""
+    return clean.join(dealt_ranks(clean, counts, seed), F.col("row_idx") == F.col("_row")).drop("_row")
+
+
+def class_of(ranks: DataFrame, counts: dict[str, int], seed: int) -> Column:
+    """The class that a row is a source of, null for none, told by its place in the shuffled order: no row is moved for it.
+
+    All that comes to the driver is the last row of each class.
+    """
+    last = {r["_class"]: r["_last"] for r in ranks.groupBy("_class").agg(F.max(F.struct(order_key(seed, "_row").alias("key"), F.col("_row").alias("row"))).alias("_last")).collect()}
+    key, row, kind = order_key(seed), F.col("row_idx"), F.lit(None).cast("string")
+    for name in reversed([k for k in counts if k in last]):
+        end = last[name]
+        kind = F.when((key < end["key"]) | ((key == end["key"]) & (row <= end["row"])), F.lit(name)).otherwise(kind)
+    return kind
 
 
 def noisy(rows: DataFrame, kind: str, **meta: Column) -> DataFrame:
@@ -92,29 +109,58 @@ def gibberish_text(text: Column, key: Column) -> Column:
     return F.when(way == 0, cut).when(way == 1, F.trim(loop)).otherwise(tail)
 
 
+def new_texts(seed: int) -> dict[str, Column]:
+    """The texts of the classes whose texts are not those of their sources."""
+    pick = F.pmod(order_key(seed + 2), F.lit(len(FOREIGN)))
+    return {"gibberish": gibberish_text(F.coalesce("text", F.lit("")), order_key(seed + 1)), "wrong_lang": F.get(F.array(*map(F.lit, FOREIGN)), pick.cast("int"))}
+
+
 def gibberish(src: DataFrame, seed: int) -> DataFrame:
-    rows = src.filter(F.col("_class") == "gibberish").withColumn("text", gibberish_text(F.coalesce("text", F.lit("")), order_key(seed + 1)))
-    return noisy(rows, "gibberish")
+    rows = src.filter(F.col("_class") == "gibberish")
+    return noisy(rows.withColumn("text", new_texts(seed)["gibberish"]), "gibberish")
 
 
 def foreign(src: DataFrame, seed: int) -> DataFrame:
     rows = src.filter(F.col("_class") == "wrong_lang")
-    pick = F.pmod(order_key(seed + 2), F.lit(len(FOREIGN)))
-    return noisy(rows.withColumn("text", F.get(F.array(*map(F.lit, FOREIGN)), pick.cast("int"))), "wrong_lang")
+    return noisy(rows.withColumn("text", new_texts(seed)["wrong_lang"]), "wrong_lang")
+
+
+def worked(clean: DataFrame, counts: dict[str, int], seed: int, each) -> DataFrame:
+    """``clean`` after ``each``, with _class; a source whose class has a text of its own comes once more, with that text and _new."""
+    rows, made = clean.withColumn("_class", class_of(dealt_ranks(clean, counts, seed), counts, seed)), new_texts(seed)
+    twice = F.when(F.col("_class").isin(*made), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    text = F.when(~F.col("_new"), F.col("text"))
+    for kind, value in made.items():
+        text = text.when(F.col("_class") == kind, value)
+    return each(rows.withColumn("_new", F.explode(twice)).withColumn("text", text))
+
+
+def placed(src: DataFrame, seed: int) -> DataFrame:
+    """Sources of one class with their _place in it."""
+    ranked = renumbered(src.withColumns({"_order": order_key(seed), "_row": F.col("row_idx"), "_part": F.lit(0)}))
+    return ranked.withColumnsRenamed({"row_idx": "_place", "_row": "row_idx"})
 
 
-def inject(clean: DataFrame, counts: dict[str, int], seed: int = 42, images=None, write: bool = True) -> DataFrame:
+def inject(clean: DataFrame, counts: dict[str, int], seed: int = 42, images=None, write: bool = True, each=None) -> DataFrame:
     """``clean`` samples with labelled noise added, in shuffled order (row_idx is anew).
 
     ``images`` makes the two classes of changed images: (rows, class, seed) -> rows with image_path replaced,
     without those that failed, with any column _mode for how an image was degraded; without it these get no rows.
     Without ``write`` the rows are not written, for a caller that reads them once.
+    ``each`` is work on rows that reads nothing of them but the text (rows -> rows): it is done where the rows lie, once
+    for all copies of a text, before any is copied or put in order.  If it drops the text, no text is shuffled.
     """
     first = F.when(F.map_contains_key("meta", F.lit("is_noise")), F.col("meta")).otherwise(with_entry(F.col("meta"), "is_noise", F.lit("false")))
     clean = clean.withColumn("meta", first)
+    if each is None:
+        src = written(dealt_sources(clean, counts, seed), "sources")  # five parts read it
+        parts = [clean, mismatched(src), duplicated(src), gibberish(src, seed), foreign(src, seed)]
+    else:
+        done = written(worked(clean, counts, seed, each), "sources")
+        clean, src, new = done.filter("not _new").drop("_class", "_new"), done.filter("not _new and _class is not null"), done.filter("_new")
+        ring = mismatched(placed(src.filter(F.col("_class") == "mismatch"), seed))
+        parts = [clean, ring, duplicated(src), *(noisy(new.filter(F.col("_class") == kind), kind) for kind in new_texts(seed))]
     names = clean.columns
-    src = written(dealt_sources(clean, counts, seed), "sources")  # five parts read it
-    parts = [clean, mismatched(src), duplicated(src), gibberish(src, seed), foreign(src, seed)]
     if images is not None:
         near = images(src.filter(F.col("_class") == "duplicate_near"), "duplicate_near", seed)
         parts.append(noisy(near, "duplicate_near", duplicate_source=json_text(F.col("id"))))

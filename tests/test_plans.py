@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sieveline.context import Context
 from sieveline.plans import evaluate as E
 from sieveline.plans import noise as N
 from sieveline.plans import report as R
@@ -176,3 +177,28 @@ def test_annotated_samples_are_measured_and_written_once(spark):
     data = spark.createDataFrame([(ends + "a 　 b\n" + ends,), (ends,), ("​x\x00",), (None,)], "t string")
     assert [r[0] for r in data.select(stripped(F.col("t"))).collect()] == ["a 　 b", "", "​x\x00", ""]
     assert "regexp_replace" not in data.select(stripped(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_noise_does_not_move_texts(spark, monkeypatch):
+    # texts are looked at where they lie, once for all copies of a row, and only what is found out is dealt, copied and put in order
+    from sieveline import catalog
+
+    plans = {}
+    kept = lambda df, name="table", *a, f=N.written: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and f(df, name, *a)
+    monkeypatch.setattr(N, "written", kept)
+    monkeypatch.setattr(catalog, "written", kept)
+    assert R.score_distribution(R.scores_of(catalog.annotated(spark, "/root/testdata/sf0.001"))).count() == 4
+    assert [k for k, p in plans.items() if "text#" in p] == ["sources"] and not any(w in plans["sources"] for w in ("Join", "Window", "Union", "Sort"))
+
+
+def test_work_before_noise_is_work_after_noise(spark):
+    texts = ["", None, "hi", "河边有一座古老的石桥，孩子们在桥上放风筝。", "one two three four five " * 9, "\x00\x01 § ¶ " * 6] + [f"A natural sentence about {i} dogs and no cat. " * (i % 5 + 1) for i in range(50)]
+    df = as_samples(spark.createDataFrame([(i * 3, f"s{i}", f"{i}.jpg", t) for i, t in enumerate(texts)], "row_idx long, id string, image_path string, text string")).withColumn("text", F.when(F.col("id") != "s1", F.col("text")))
+    ops, ctx = Pipeline({"ops": [{"name": "text_quality_filter"}, {"name": "lang_id_filter", "params": {"backend": "heuristic"}}]}), Context(spark)
+    work = lambda rows: ops.transform(rows, ctx).drop("text", "conversations")
+    seen = lambda rows: [(*r[:-1], sorted(r[-1].items()), sorted(r["scores"].items())) for r in rows.orderBy("row_idx").select("row_idx", "id", "image_path", "keep", "drop_reason", "drop_stage", "scores", "meta").collect()]
+    six = dict.fromkeys(N.DEFAULT_COUNTS, 7)
+    for counts in (six, six | {"mismatch": 0, "gibberish": 0}, six | {"wrong_lang": 500}, {"duplicate_exact": 1}):
+        for seed in (1, 42):
+            got = seen(N.inject(df, counts, seed, each=work))
+            assert got == seen(work(N.inject(df, counts, seed))) and len(got) > len(texts)
