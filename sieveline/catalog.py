@@ -97,12 +97,13 @@ def text_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def script_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = X.script_counts(X.stripped(F.col("text")))
-    return mixed(spark, sf_dir).select("id", *(c.cast("long").alias(k) for k, c in counts.items()))
+    counts = {k: c.cast("long") for k, c in X.script_counts(X.stripped(F.col("text"))).items()}
+    return mixed(spark, sf_dir, write=False, each=lambda rows: rows.withColumns(counts).drop("conversations", "text")).select("id", *counts)
 
 
 def lang_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = LangIdFilter(backend="heuristic").apply(mixed(spark, sf_dir), Context(spark))
+    op, ctx = LangIdFilter(backend="heuristic"), Context(spark)
+    out = mixed(spark, sf_dir, write=False, each=lambda rows: op.apply(rows, ctx).drop("conversations", "text"))
     return out.select("id", "keep", "drop_reason", F.col("scores")["lang_conf"].alias("lang_conf"), meta_text("lang").alias("lang"))
 
 

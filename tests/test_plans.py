@@ -187,8 +187,11 @@ def test_noise_does_not_move_texts(spark, monkeypatch):
     kept = lambda df, name="table", *a, f=N.written: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and f(df, name, *a)
     monkeypatch.setattr(N, "written", kept)
     monkeypatch.setattr(catalog, "written", kept)
-    assert R.score_distribution(R.scores_of(catalog.annotated(spark, "/root/testdata/sf0.001"))).count() == 4
-    assert [k for k, p in plans.items() if "text#" in p] == ["sources"] and not any(w in plans["sources"] for w in ("Join", "Window", "Union", "Sort"))
+    for query, n in ((catalog.score_distribution, 4), (catalog.lang_id_filter, 280), (catalog.script_counts, 280)):
+        plans.clear()
+        out = query(spark, "/root/testdata/sf0.001")
+        assert out.count() == n and "text#" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert [k for k, p in plans.items() if "text#" in p] == ["sources"] and not any(w in plans["sources"] for w in ("Join", "Window", "Union", "Sort"))
 
 
 def test_work_before_noise_is_work_after_noise(spark):
